@@ -1,0 +1,168 @@
+"""DuckDB oracle SQL for the registered queries.
+
+The analogue recipe of ``goalpost.plans.analogue`` written independently as
+SQL CTEs.  Conventions that keep both engines bit-equal (SURVEY §7.5):
+integers are BIGINT, rounding goes through the decimal text of the double
+(``R``), ratios divide by ``NULLIF(d, 0)``, windows spell out NULLS order.
+"""
+
+from __future__ import annotations
+
+from goalpost.functions.codes import ALFABETIZADO, PREENCHIMENTO_CADERNO, PRESENCA, REDE, SERIE
+
+
+def R(x: str, n: int) -> str:
+    """Spark-compatible half-up rounding of a double."""
+    return f"CAST(round(CAST(CAST(({x}) AS VARCHAR) AS DECIMAL(38,18)), {n}) AS DOUBLE)"
+
+
+def PCT(n: str, d: str, s: int) -> str:
+    return R(f"CAST({n} AS DOUBLE) / NULLIF(CAST({d} AS DOUBLE), 0) * 100", s)
+
+
+def DECODE(col: str, book: dict) -> str:
+    whens = " ".join(f"WHEN {col} = '{k}' THEN '{v}'" for k, v in book.items())
+    return f"CASE {whens} ELSE CAST(NULL AS VARCHAR) END"
+
+
+def LEVELS(m: str) -> str:
+    return (f"greatest({m} - 15.0::DOUBLE, 0.0::DOUBLE) AS meta_alfabetizacao_2024, "
+            f"greatest({m} - 10.0::DOUBLE, 0.0::DOUBLE) AS meta_alfabetizacao_2026, "
+            f"greatest({m} - 5.0::DOUBLE, 0.0::DOUBLE) AS meta_alfabetizacao_2028, "
+            f"{m} AS meta_alfabetizacao_2030")
+
+
+CTES: dict[str, str] = {}
+DEPS: dict[str, list[str]] = {}
+
+
+def cte(name: str, deps: list[str], body: str) -> None:
+    CTES[name] = body
+    DEPS[name] = deps
+
+
+cte("micro", [], f"""
+  SELECT year(l_shipdate) AS ano, l_suppkey AS id_municipio, l_partkey AS id_escola,
+         l_orderkey * 10 + l_linenumber AS id_aluno, '2' AS serie,
+         CASE WHEN l_tax = 0.08::DOUBLE THEN '2' ELSE '3' END AS rede,
+         CASE WHEN l_discount > 0.02::DOUBLE THEN '1' ELSE '0' END AS presenca,
+         CASE WHEN l_discount > 0.02::DOUBLE THEN '1' ELSE '0' END AS preenchimento_caderno,
+         CASE WHEN l_discount > 0.02::DOUBLE AND l_returnflag = 'R' THEN '1' ELSE '0' END AS alfabetizado,
+         CASE WHEN l_discount > 0.02::DOUBLE THEN l_quantity * 20 END AS proficiencia,
+         1.0::DOUBLE AS peso_aluno,
+         l_orderkey AS ok_, l_partkey AS pk_
+  FROM lineitem""")
+
+cte("directory", [], """
+  SELECT s_suppkey AS id_municipio, s_name AS nome, n_name AS sigla_uf, n_name AS nome_uf,
+         r_name AS nome_regiao, CAST(s_suppkey % 100 = 0 AS BIGINT) AS capital_uf,
+         CAST(n_regionkey = 1 AS BIGINT) AS amazonia_legal
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""")
+
+cte("roll_fine", ["micro"], """
+  SELECT id_municipio, ano, rede, serie, count(*) AS n_matric, count(proficiencia) AS n_prova,
+         count_if(alfabetizado = '1') AS n_alfab, sum(proficiencia) AS soma_proficiencia
+  FROM micro GROUP BY id_municipio, ano, rede, serie""")
+
+cte("ind_fine", ["roll_fine"], f"""
+  SELECT ano, id_municipio, serie, rede, {PCT('n_alfab', 'n_prova', 2)} AS taxa_alfabetizacao,
+         {R('soma_proficiencia / NULLIF(CAST(n_prova AS DOUBLE), 0)', 2)} AS media_portugues
+  FROM roll_fine""")
+
+cte("roll_coarse", ["roll_fine", "directory"], """
+  SELECT d.sigla_uf, r.ano, r.rede, r.serie, CAST(sum(r.n_matric) AS BIGINT) AS n_matric,
+         CAST(sum(r.n_prova) AS BIGINT) AS n_prova, CAST(sum(r.n_alfab) AS BIGINT) AS n_alfab,
+         sum(r.soma_proficiencia) AS soma_proficiencia
+  FROM roll_fine r JOIN directory d ON r.id_municipio = d.id_municipio
+  GROUP BY d.sigla_uf, r.ano, r.rede, r.serie""")
+
+cte("ind_coarse", ["roll_coarse"], f"""
+  SELECT ano, sigla_uf, serie, rede, {PCT('n_alfab', 'n_prova', 2)} AS taxa_alfabetizacao,
+         {R('soma_proficiencia / NULLIF(CAST(n_prova AS DOUBLE), 0)', 2)} AS media_portugues
+  FROM roll_coarse""")
+
+cte("target_fine", ["roll_fine"], f"""
+  SELECT ano, rede, id_municipio, {PCT('n_alfab', 'n_prova', 2)} AS taxa_alfabetizacao, {LEVELS('m')}
+  FROM (SELECT *, CASE WHEN id_municipio % 50 = 49 THEN 0.0::DOUBLE
+                       ELSE CAST(25 + 5 * (id_municipio % 5) AS DOUBLE) END AS m
+        FROM roll_fine WHERE rede = '3') t
+  WHERE {PCT('n_prova', 'n_matric', 1)} >= 70""")
+
+cte("target_coarse", ["ind_coarse"], f"""
+  SELECT ano, rede, sigla_uf, taxa_alfabetizacao, {LEVELS('m')}
+  FROM (SELECT i.*, CASE WHEN n_nationkey % 9 = 4 THEN CAST(NULL AS DOUBLE)
+                         WHEN n_nationkey = 24 THEN 0.0::DOUBLE
+                         ELSE CAST(30 + 2 * (n_nationkey % 4) AS DOUBLE) END AS m
+        FROM ind_coarse i JOIN nation ON i.sigla_uf = n_name
+        WHERE i.rede = '3' AND n_nationkey % 11 <> 0) t""")
+
+cte("target_country", ["roll_fine"], f"""
+  SELECT ano, rede, {PCT('n_alfab', 'n_prova', 2)} AS taxa_alfabetizacao, {LEVELS('60.0::DOUBLE')}
+  FROM (SELECT ano, rede, sum(n_prova) AS n_prova, sum(n_alfab) AS n_alfab FROM roll_fine GROUP BY ano, rede) t""")
+
+cte("silver_fine", ["ind_fine", "directory"], f"""
+  SELECT i.*, d.nome, d.sigla_uf, {DECODE('i.rede', REDE)} AS rede_desc, {DECODE('i.serie', SERIE)} AS serie_desc
+  FROM (SELECT DISTINCT * FROM ind_fine) i LEFT JOIN directory d ON i.id_municipio = d.id_municipio""")
+
+cte("silver_coarse", ["ind_coarse"], f"""
+  SELECT i.*, {DECODE('rede', REDE)} AS rede_desc, {DECODE('serie', SERIE)} AS serie_desc
+  FROM (SELECT DISTINCT * FROM ind_coarse) i""")
+
+cte("integ_fine", ["silver_fine", "target_fine"], """
+  SELECT i.id_municipio, i.ano, i.nome, i.sigla_uf, i.taxa_alfabetizacao, i.media_portugues,
+         t.meta_alfabetizacao_2024, t.meta_alfabetizacao_2026, t.meta_alfabetizacao_2028, t.meta_alfabetizacao_2030
+  FROM silver_fine i LEFT JOIN target_fine t ON i.id_municipio = t.id_municipio AND i.ano = t.ano
+  WHERE i.rede = '3'""")
+
+cte("integ_coarse", ["silver_coarse", "target_coarse"], """
+  SELECT i.sigla_uf, i.ano, i.taxa_alfabetizacao, i.media_portugues,
+         t.meta_alfabetizacao_2024, t.meta_alfabetizacao_2026, t.meta_alfabetizacao_2028, t.meta_alfabetizacao_2030
+  FROM silver_coarse i LEFT JOIN target_coarse t ON i.sigla_uf = t.sigla_uf AND i.ano = t.ano
+  WHERE i.rede = '3'""")
+
+cte("gold_fine", ["integ_fine"], f"""
+  SELECT *, {R('meta_alfabetizacao_2030 - taxa_alfabetizacao', 2)} AS gap_para_meta_2030,
+         row_number() OVER (PARTITION BY sigla_uf, ano
+                            ORDER BY taxa_alfabetizacao DESC NULLS LAST, id_municipio ASC NULLS LAST) AS ranking_na_uf
+  FROM integ_fine""")
+
+cte("gold_attain", ["integ_coarse"], f"""
+  SELECT *, {PCT('taxa_alfabetizacao', 'meta_alfabetizacao_2030', 2)} AS atingimento_meta_2030_pct FROM integ_coarse""")
+
+cte("gold_evol", ["integ_coarse"], f"""
+  SELECT sigla_uf, ano, taxa_alfabetizacao,
+         lag(taxa_alfabetizacao) OVER (PARTITION BY sigla_uf ORDER BY ano) AS taxa_ano_anterior,
+         {R('taxa_alfabetizacao - lag(taxa_alfabetizacao) OVER (PARTITION BY sigla_uf ORDER BY ano)', 2)} AS variacao_pp
+  FROM integ_coarse""")
+
+
+def with_ctes(*names: str) -> str:
+    """``WITH`` clause holding ``names`` and everything they depend on, in order."""
+    order: list[str] = []
+
+    def visit(n: str) -> None:
+        for d in DEPS[n]:
+            visit(d)
+        if n not in order:
+            order.append(n)
+
+    for n in names:
+        visit(n)
+    return "WITH " + ",\n".join(f"{n} AS ({CTES[n]})" for n in order) + "\n"
+
+
+def sql(names: list[str] | str, select: str) -> str:
+    names = [names] if isinstance(names, str) else names
+    return with_ctes(*names) + select
+
+
+ORACLE: dict[str, str] = {}
+
+
+def register(key: str, names: list[str] | str, select: str) -> None:
+    ORACLE[key] = sql(names, select)
+
+
+register("gold_indicator_rank", "gold_fine", "SELECT * FROM gold_fine")
+register("gold_attainment", "gold_attain", "SELECT * FROM gold_attain")
+register("gold_evolution", "gold_evol", "SELECT * FROM gold_evol")
