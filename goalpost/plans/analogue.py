@@ -43,7 +43,9 @@ def micro(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.year("l_shipdate").alias("ano"),
         F.col("l_suppkey").alias("id_municipio"),
         F.col("l_partkey").alias("id_escola"),
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id_aluno"),
+        # (order, line, part, supplier, ship day) is the unique row key of lineitem
+        F.concat_ws("-", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")],
+                    F.date_format("l_shipdate", "MMdd")).alias("id_aluno"),
         F.lit("2").alias("serie"),
         F.when(F.col("l_tax") == F.lit(STATE_NETWORK_TAX), F.lit("2")).otherwise(F.lit("3")).alias("rede"),
         flag.alias("presenca"),
@@ -76,7 +78,8 @@ def fine_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _indicator(roll: DataFrame, keys: list[str]) -> DataFrame:
-    return roll.select(*keys,
+    # an indicator is published only where someone took the test
+    return roll.filter(F.col("n_prova") > 0).select(*keys,
                        pct("n_alfab", "n_prova", 2).alias("taxa_alfabetizacao"),
                        F.round(F.try_divide(F.col("soma_proficiencia"), F.col("n_prova").cast("double")), 2)
                         .alias("media_portugues"))

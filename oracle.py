@@ -43,7 +43,8 @@ def cte(name: str, deps: list[str], body: str) -> None:
 
 cte("micro", [], f"""
   SELECT year(l_shipdate) AS ano, l_suppkey AS id_municipio, l_partkey AS id_escola,
-         l_orderkey * 10 + l_linenumber AS id_aluno, '2' AS serie,
+         concat_ws('-', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR), CAST(l_partkey AS VARCHAR),
+                   CAST(l_suppkey AS VARCHAR), strftime(l_shipdate, '%m%d')) AS id_aluno, '2' AS serie,
          CASE WHEN l_tax = 0.08::DOUBLE THEN '2' ELSE '3' END AS rede,
          CASE WHEN l_discount > 0.02::DOUBLE THEN '1' ELSE '0' END AS presenca,
          CASE WHEN l_discount > 0.02::DOUBLE THEN '1' ELSE '0' END AS preenchimento_caderno,
@@ -67,7 +68,7 @@ cte("roll_fine", ["micro"], """
 cte("ind_fine", ["roll_fine"], f"""
   SELECT ano, id_municipio, serie, rede, {PCT('n_alfab', 'n_prova', 2)} AS taxa_alfabetizacao,
          {R('soma_proficiencia / NULLIF(CAST(n_prova AS DOUBLE), 0)', 2)} AS media_portugues
-  FROM roll_fine""")
+  FROM roll_fine WHERE n_prova > 0""")
 
 cte("roll_coarse", ["roll_fine", "directory"], """
   SELECT d.sigla_uf, r.ano, r.rede, r.serie, CAST(sum(r.n_matric) AS BIGINT) AS n_matric,
@@ -79,7 +80,7 @@ cte("roll_coarse", ["roll_fine", "directory"], """
 cte("ind_coarse", ["roll_coarse"], f"""
   SELECT ano, sigla_uf, serie, rede, {PCT('n_alfab', 'n_prova', 2)} AS taxa_alfabetizacao,
          {R('soma_proficiencia / NULLIF(CAST(n_prova AS DOUBLE), 0)', 2)} AS media_portugues
-  FROM roll_coarse""")
+  FROM roll_coarse WHERE n_prova > 0""")
 
 cte("target_fine", ["roll_fine"], f"""
   SELECT ano, rede, id_municipio, {PCT('n_alfab', 'n_prova', 2)} AS taxa_alfabetizacao, {LEVELS('m')}
