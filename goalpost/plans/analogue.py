@@ -35,11 +35,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def micro(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
+def _micro_columns() -> list:
     tested = F.col("l_discount") > F.lit(TESTED_DISCOUNT)
     flag = F.when(tested, F.lit("1")).otherwise(F.lit("0"))
-    return li.select(
+    return [
         F.year("l_shipdate").alias("ano"),
         F.col("l_suppkey").alias("id_municipio"),
         F.col("l_partkey").alias("id_escola"),
@@ -54,7 +53,11 @@ def micro(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(F.lit("0")).alias("alfabetizado"),
         F.when(tested, F.col("l_quantity") * F.lit(SCORE_PER_UNIT)).alias("proficiencia"),
         F.lit(1.0).alias("peso_aluno"),
-    )
+    ]
+
+
+def micro(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").select(*_micro_columns())
 
 
 def directory(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,9 +150,8 @@ def dirty_micro(spark: SparkSession, sf_dir: str) -> DataFrame:
     Columns change first (a null key wins over the orphan shift), then the
     rows with ``l_orderkey % 101 = 0`` are repeated, so repeats are exact copies.
     """
-    li = table(spark, sf_dir, "lineitem")
-    ok, pk = F.col("l_orderkey"), F.col("l_partkey")
-    m = micro(spark, sf_dir).withColumn("__ok", ok).withColumn("__pk", pk)
+    m = table(spark, sf_dir, "lineitem").select(*_micro_columns(), F.col("l_orderkey").alias("__ok"),
+                                                  F.col("l_partkey").alias("__pk"))
     m = m.select(
         "ano",
         F.when(F.col("__ok") % 97 == 0, F.lit(None).cast("bigint"))
@@ -159,6 +161,5 @@ def dirty_micro(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("__ok") % 107 == 0, F.lit("X")).otherwise(F.col("alfabetizado")).alias("alfabetizado"),
         F.when(F.col("__ok") % 103 == 0, F.lit(1500.0)).otherwise(F.col("proficiencia")).alias("proficiencia"),
         "peso_aluno", "__ok")
-    del li
     repeated = m.filter(F.col("__ok") % 101 == 0)
     return m.unionByName(repeated).drop("__ok")

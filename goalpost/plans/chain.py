@@ -49,3 +49,21 @@ def gold_attainment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def gold_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.evolution(integrated_coarse(spark, sf_dir))
+
+
+def silver_micro(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
+    src = analogue.dirty_micro(spark, sf_dir) if dirty else analogue.micro(spark, sf_dir)
+    return silver.micro(src, silver_directory(spark, sf_dir))[0]
+
+
+def analysis_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from goalpost.plans import analysis
+    return analysis.base(silver_fine(spark, sf_dir), silver_target_fine(spark, sf_dir),
+                         silver_micro(spark, sf_dir))
+
+
+def gold_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold indicator without the rank column (what the top-k and KPI marts read)."""
+    from pyspark.sql import functions as F
+    return integrated_fine(spark, sf_dir).withColumn(
+        "gap_para_meta_2030", F.round(F.col("meta_alfabetizacao_2030") - F.col("taxa_alfabetizacao"), 2))

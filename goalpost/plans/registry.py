@@ -1,12 +1,23 @@
-"""Named queries: one callable ``(spark, sf_dir) -> DataFrame`` per operator/job."""
+"""Named queries: one callable ``(spark, sf_dir) -> DataFrame`` per operator/job.
+
+Each reads the shared test tables through ``analogue`` / ``chain`` so its
+work grows with them.  The SQL oracle for each key is in ``oracle.py``.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from goalpost.plans import chain
+from goalpost.functions.codes import REDE_MUNICIPAL, decode_all, CODEBOOKS
+from goalpost.operators import quality as q
+from goalpost.operators.aggregate import dedup_full, micro_rollup
+from goalpost.operators.joins import lookup
+from goalpost.plans import analogue, analysis, chain, dashboard, integration, silver
+from goalpost.sources.layers import profile, union_by_name
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -19,6 +30,217 @@ def query(name: str):
     return deco
 
 
-query("gold_indicator_rank")(chain.gold_indicator)
-query("gold_attainment")(chain.gold_attainment)
-query("gold_evolution")(chain.gold_evolution)
+# --- S1 / P1-P3: scan, projection, predicates --------------------------------
+MICRO_SCHEMA = T.StructType([
+    T.StructField("l_orderkey", T.LongType()), T.StructField("l_partkey", T.LongType()),
+    T.StructField("l_suppkey", T.LongType()), T.StructField("l_linenumber", T.IntegerType()),
+    T.StructField("l_quantity", T.DoubleType()), T.StructField("l_extendedprice", T.DoubleType()),
+    T.StructField("l_discount", T.DoubleType()), T.StructField("l_tax", T.DoubleType()),
+    T.StructField("l_returnflag", T.StringType()), T.StructField("l_linestatus", T.StringType()),
+    T.StructField("l_shipdate", T.TimestampNTZType()),
+])
+
+
+@query("scan_project")
+def scan_project(spark, d):
+    """Declared-schema scan; only the projected columns reach the Parquet reader."""
+    li = spark.read.schema(MICRO_SCHEMA).parquet(f"{d}/lineitem.parquet")
+    return li.select(F.col("l_suppkey").alias("id_municipio"), F.year("l_shipdate").alias("ano"),
+                     F.col("l_returnflag"), F.col("l_quantity"))
+
+
+@query("filter_code")
+def filter_code(spark, d):
+    """Equality filter on a string network code."""
+    return analogue.micro(spark, d).filter(F.col("rede") == F.lit(REDE_MUNICIPAL)) \
+        .select("id_aluno", "ano", "id_municipio", "rede", "proficiencia")
+
+
+@query("null_predicates")
+def null_predicates(spark, d):
+    """Null / not-null predicates counted per year."""
+    m = analogue.micro(spark, d)
+    return m.groupBy("ano").agg(F.count_if(F.col("proficiencia").isNull()).alias("sem_prova"),
+                                F.count_if(F.col("proficiencia").isNotNull()).alias("com_prova"))
+
+
+# --- lookups, integration ----------------------------------------------------
+@query("enrich_directory")
+def enrich_directory(spark, d):
+    """Micro (with orphan and null keys) ⟕ directory; unmatched rows keep null attributes."""
+    geo = chain.silver_directory(spark, d).select("id_municipio", "nome", "sigla_uf")
+    m = analogue.dirty_micro(spark, d).select("id_aluno", "ano", "id_municipio")
+    return lookup(m, geo, "id_municipio", "left")
+
+
+@query("integrate_targets")
+def integrate_targets(spark, d):
+    return chain.integrated_fine(spark, d)
+
+
+@query("integrate_targets_coarse")
+def integrate_targets_coarse(spark, d):
+    return chain.integrated_coarse(spark, d)
+
+
+@query("integration_consistency")
+def integration_consistency(spark, d):
+    return integration.integrate_fine(chain.silver_fine(spark, d), chain.silver_target_fine(spark, d))[1]
+
+
+# --- aggregations ------------------------------------------------------------
+@query("micro_rollup")
+def micro_rollup_q(spark, d):
+    return micro_rollup(analogue.micro(spark, d), ["id_municipio", "ano"])
+
+
+@query("dedup_full")
+def dedup_full_q(spark, d):
+    return dedup_full(analogue.dirty_micro(spark, d))
+
+
+@query("decode_codes")
+def decode_codes(spark, d):
+    """All five code books on micro with an injected unknown code."""
+    m = analogue.dirty_micro(spark, d).select("id_aluno", "ano", *CODEBOOKS)
+    return m.withColumns(decode_all(CODEBOOKS))
+
+
+# --- quality rules on the dirty micro table ----------------------------------
+def _dirty_rules(spark, d):
+    geo = chain.silver_directory(spark, d)
+    return [
+        q.nulls("null key", ["ano", "id_municipio", "id_aluno"]),
+        q.nulls("null required field", ["serie", "rede", "presenca", "preenchimento_caderno", "alfabetizado"]),
+        q.duplicates("duplicate key", ["ano", "id_aluno"]),
+        q.not_in("literate flag invalid", "alfabetizado", ["0", "1"]),
+        q.orphans("territory missing from directory", "id_municipio", geo),
+        q.out_of_range("score outside 0-1000", "proficiencia", 0, 1000),
+        q.nulls("score missing", ["proficiencia"], severity=q.WARN),
+    ]
+
+
+def _one_rule(kind: str):
+    def run(spark, d):
+        rules = [r for r in _dirty_rules(spark, d) if r.kind == kind][:1]
+        return q.evaluate(analogue.dirty_micro(spark, d), rules)
+    return run
+
+
+QUERIES["rule_nulls"] = _one_rule("nulls")
+QUERIES["rule_duplicates"] = _one_rule("duplicates")
+QUERIES["rule_range"] = _one_rule("range")
+QUERIES["rule_domain"] = _one_rule("domain")
+
+
+@query("quality_report")
+def quality_report(spark, d):
+    """Q1-Q9: the whole micro rule set on the dirty table, one action."""
+    return q.evaluate(analogue.dirty_micro(spark, d), _dirty_rules(spark, d))
+
+
+@query("orphan_keys")
+def orphan_keys(spark, d):
+    """Orphan rows of documents vs labels, and of dirty micro vs the directory."""
+    docs = analogue.table(spark, d, "documents")
+    labels = analogue.table(spark, d, "labels")
+    a = q.evaluate(docs, [q.orphans("documents without label", "doc_id", labels)])
+    b = q.evaluate(analogue.dirty_micro(spark, d),
+                   [q.orphans("students without directory entry", "id_municipio", chain.silver_directory(spark, d))])
+    return a.unionByName(b).select("rule", "violations")
+
+
+# --- Silver jobs ---------------------------------------------------------------
+QUERIES["silver_directory"] = chain.silver_directory
+QUERIES["silver_indicator_fine"] = chain.silver_fine
+QUERIES["silver_indicator_coarse"] = chain.silver_coarse
+
+
+@query("silver_targets")
+def silver_targets(spark, d):
+    """C4: the three target tables, each cleaned, stacked with their name."""
+    loaders = {"meta_brasil": analogue.target_country, "meta_uf": analogue.target_coarse,
+               "meta_municipio": analogue.target_fine}
+    frames = [silver.targets(loaders[s.name](spark, d), s)[0].withColumn("tabela", F.lit(s.name))
+              for s in silver.TARGETS]
+    return union_by_name(frames)
+
+
+@query("silver_micro")
+def silver_micro(spark, d):
+    return chain.silver_micro(spark, d)
+
+
+# --- Gold ------------------------------------------------------------------------
+QUERIES["gold_indicator_rank"] = chain.gold_indicator
+QUERIES["gold_attainment"] = chain.gold_attainment
+QUERIES["gold_evolution"] = chain.gold_evolution
+
+
+# --- analysis ----------------------------------------------------------------------
+QUERIES["missing_target_base"] = chain.analysis_base
+for _name, _fn in {
+    "missing_target_coverage": analysis.coverage,
+    "orphan_persistence": analysis.persistence,
+    "participation_pattern": analysis.participation_pattern,
+    "orphan_rate_by_band": analysis.orphan_rate_by_band,
+    "missing_target_counterexamples": analysis.counterexamples,
+    "denominator_check": analysis.denominator_check,
+}.items():
+    QUERIES[_name] = (lambda fn: lambda spark, d: fn(chain.analysis_base(spark, d)))(_fn)
+
+
+# --- dashboard marts -------------------------------------------------------------
+@query("latest_period")
+def latest_period(spark, d):
+    return dashboard.latest_period(chain.gold_attainment(spark, d), chain.gold_evolution(spark, d))
+
+
+@query("rank_latest")
+def rank_latest(spark, d):
+    return dashboard.rank_latest(chain.gold_attainment(spark, d))
+
+
+@query("target_vs_result")
+def target_vs_result(spark, d):
+    return dashboard.target_vs_result(chain.gold_attainment(spark, d))
+
+
+@query("trend_direction")
+def trend_direction(spark, d):
+    return dashboard.trend_direction(chain.gold_evolution(spark, d))
+
+
+@query("topk_gap")
+def topk_gap(spark, d):
+    return dashboard.topk_gap(chain.gold_gap(spark, d))
+
+
+@query("kpi_latest")
+def kpi_latest(spark, d):
+    return dashboard.kpis(chain.gold_attainment(spark, d), chain.gold_evolution(spark, d), chain.gold_gap(spark, d))
+
+
+# --- profile, union --------------------------------------------------------------
+@query("table_profile")
+def table_profile(spark, d):
+    """Row count and rows without a parent, on Silver micro built from the dirty table."""
+    return profile(chain.silver_micro(spark, d, dirty=True))[0]
+
+
+@query("table_preview")
+def table_preview(spark, d):
+    """L4: first rows by key of the wanted columns that exist."""
+    return profile(chain.silver_fine(spark, d), order_by=["id_municipio", "ano", "rede"])[1]
+
+
+@query("union_by_name")
+def union_by_name_q(spark, d):
+    """Bag union by column name; columns missing on one side become null."""
+    c = analogue.table(spark, d, "customer").select(
+        F.col("c_custkey").alias("id"), F.col("c_name").alias("nome"),
+        F.col("c_nationkey").alias("nacao"), F.col("c_mktsegment").alias("segmento"))
+    s = analogue.table(spark, d, "supplier").select(
+        F.col("s_suppkey").alias("id"), F.col("s_name").alias("nome"),
+        F.col("s_nationkey").alias("nacao"), F.col("s_acctbal").alias("saldo"))
+    return union_by_name([c, s])

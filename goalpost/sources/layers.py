@@ -116,4 +116,4 @@ def profile(df: DataFrame, parent: str = "sigla_uf",
         counts.append(F.count_if(F.col(parent).isNull()).alias("linhas_sem_pai"))
     cols = [c for c in preview if c in df.columns]
     keys = list(order_by) if order_by else cols
-    return df.agg(*counts), df.select(*cols).orderBy(*keys).limit(n)
+    return df.agg(*counts), df.orderBy(*keys).select(*cols).limit(n)
