@@ -244,3 +244,172 @@ def union_by_name_q(spark, d):
         F.col("s_suppkey").alias("id"), F.col("s_name").alias("nome"),
         F.col("s_nationkey").alias("nacao"), F.col("s_acctbal").alias("saldo"))
     return union_by_name([c, s])
+
+
+# --- layered storage round trips (S2-S5, S8-S11, A14) ----------------------------
+from goalpost.plans import gold as _gold  # noqa: E402
+from goalpost.sources.ingest import Source, ingest  # noqa: E402
+from goalpost.sources.layers import read_layer, write_layer  # noqa: E402
+from goalpost.session import fresh_path  # noqa: E402
+
+
+def _bronze(spark, d, sources):
+    base = fresh_path(spark, "bronze")
+    ingest(spark, sources, base)
+    return base
+
+
+@query("bronze_ingest")
+def bronze_ingest(spark, d):
+    """Registry ingest (one partitioned, one plain source), read back with partition discovery."""
+    base = _bronze(spark, d, [Source("alunos", lambda s: analogue.micro(s, d), "ano"),
+                              Source("diretorio_municipio", lambda s: analogue.directory(s, d), None)])
+    return read_layer(spark, f"{base}/alunos")
+
+
+@query("bronze_reingest")
+def bronze_reingest(spark, d):
+    """Re-ingest one year with dynamic partition overwrite; the other years stay."""
+    base = _bronze(spark, d, [Source("alunos", lambda s: analogue.micro(s, d), "ano")])
+    again = Source("alunos", lambda s: analogue.micro(s, d).filter(F.col("ano") == 1998)
+                   .withColumn("peso_aluno", F.lit(2.0)), "ano")
+    ingest(spark, [again], base, dynamic=True)
+    return read_layer(spark, f"{base}/alunos")
+
+
+@query("bronze_null_period")
+def bronze_null_period(spark, d):
+    """S3: rows with a null period are not written -- and are counted, not hidden."""
+    src = analogue.micro(spark, d).withColumn(
+        "ano", F.when(F.col("id_escola") % 113 == 0, F.lit(None).cast("int")).otherwise(F.col("ano")))
+    path = fresh_path(spark, "bronze-null")
+    res = write_layer(src, path, "ano")
+    back = read_layer(spark, path)
+    return back.agg(F.count(F.lit(1)).alias("lidos")).select(
+        F.lit(res.rows).cast("bigint").alias("escritos"),
+        F.lit(res.dropped_null_partition).cast("bigint").alias("descartados"), "lidos")
+
+
+@query("partition_prune")
+def partition_prune(spark, d):
+    """A filter on the partition column becomes a PartitionFilter of the scan."""
+    base = _bronze(spark, d, [Source("alunos", lambda s: analogue.micro(s, d), "ano")])
+    return read_layer(spark, f"{base}/alunos").filter(F.col("ano") == 1998)
+
+
+@query("gold_roundtrip")
+def gold_roundtrip(spark, d):
+    """Gold mart written partitioned by year and read back."""
+    path = fresh_path(spark, "gold-indicador")
+    write_layer(_gold.indicator_rank(chain.integrated_fine(spark, d)), path, "ano")
+    return read_layer(spark, path)
+
+
+# --- streaming (T1-T8, S12) -----------------------------------------------------------
+from goalpost.streaming import events as _ev  # noqa: E402
+from goalpost.streaming import ingest as _ing  # noqa: E402
+from goalpost.streaming import sources as _src  # noqa: E402
+
+_PARSED = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType()),
+                        T.StructField("event_type", T.StringType()), T.StructField("value", T.DoubleType()),
+                        T.StructField("props", T.StringType())])
+
+
+@query("event_encode")
+def event_encode(spark, d):
+    """Rows -> JSON bodies (non-finite -> null), parsed back for the round-trip check."""
+    e = analogue.table(spark, d, "events")
+    k = F.col("event_id") % 40
+    e = e.withColumn("value", F.when(k == 7, F.lit(float("nan"))).when(k == 9, F.lit(float("inf")))
+                     .otherwise(F.col("value")))
+    enc = _ev.encode(e, "event_id")
+    p = F.from_json("body", _PARSED)
+    return enc.select("message_id", *[p[f.name].alias(f.name) for f in _PARSED.fields],
+                      F.col("body").rlike("NaN|Infinity").alias("has_non_finite_text"))
+
+
+@query("event_validate")
+def event_validate(spark, d):
+    """Strict JSON object check and required fields, one reason per rejected message."""
+    v = _ev.validate(_src.messages(spark, d), _src.REQUIRED)
+    return v.select("message_id", "event_id", "motivo", "valido")
+
+
+def _stream_run(spark, d, mode="quarantine"):
+    out, ckpt = fresh_path(spark, "stream-out"), fresh_path(spark, "stream-ckpt")
+    metrics = _ing.run_ingest(_src.message_stream(spark, d), out, ckpt, _src.REQUIRED, mode=mode)
+    return out, metrics
+
+
+def _read_or_empty(spark, path, schema):
+    import os
+    local = path.removeprefix("file:")
+    if path.startswith(("file:", "/")) and not os.path.isdir(local):
+        return spark.createDataFrame([], schema)
+    return spark.read.parquet(path)
+
+
+_Q_SCHEMA = "message_id string, body string, motivo string, dt_ingestao date, batch_id int"
+
+
+@query("stream_ingest")
+def stream_ingest(spark, d):
+    """Accepted events written by ingestion date, read back (fields parsed from the kept raw body)."""
+    out, _ = _stream_run(spark, d)
+    acc = spark.read.parquet(f"{out}/accepted")
+    p = F.from_json("body", _PARSED)
+    return acc.select("message_id", p["event_id"].alias("event_id"), p["user_id"].alias("user_id"),
+                      p["event_type"].alias("event_type"),
+                      (F.col("dt_ingestao") == F.current_date()).alias("ingerido_hoje"))
+
+
+@query("stream_dedup")
+def stream_dedup(spark, d):
+    """T5: a redelivered message id is written once (accepted or quarantined)."""
+    out, _ = _stream_run(spark, d)
+    acc = spark.read.parquet(f"{out}/accepted").select("message_id", F.lit("accepted").alias("destino"))
+    rej = _read_or_empty(spark, f"{out}/quarantine", _Q_SCHEMA).select(
+        "message_id", F.lit("quarantine").alias("destino"))
+    return acc.unionByName(rej).groupBy("message_id", "destino").agg(F.count(F.lit(1)).alias("copias"))
+
+
+@query("stream_quarantine")
+def stream_quarantine(spark, d):
+    """Rejected events land in the quarantine table with their reason."""
+    out, _ = _stream_run(spark, d)
+    return _read_or_empty(spark, f"{out}/quarantine", _Q_SCHEMA).select("message_id", "motivo")
+
+
+@query("stream_metrics")
+def stream_metrics(spark, d):
+    """Read / written / quarantined counts, from the batch aggregates, checked against the sinks."""
+    out, metrics = _stream_run(spark, d)
+    t = metrics.totals()
+    acc = spark.read.parquet(f"{out}/accepted").agg(F.count(F.lit(1)).alias("no_destino"))
+    return acc.select(F.lit(t["lidos"]).cast("bigint").alias("lidos"),
+                      F.lit(t["gravados"]).cast("bigint").alias("gravados"),
+                      F.lit(t["quarentena"]).cast("bigint").alias("quarentena"), "no_destino")
+
+
+# --- sampling and run records (rows-only checks) ------------------------------------------
+@query("sample_n")
+def sample_n(spark, d, n: int = 20, seed: int = 42):
+    """Exactly ``min(n, rows)`` rows of the latest year, seeded, encoded as events."""
+    latest = dashboard.at_latest(analogue.micro(spark, d))
+    picked = latest.orderBy(F.xxhash64(F.col("id_aluno"), F.lit(seed)), F.col("id_aluno")).limit(n)
+    return _ev.encode(picked, "id_aluno")
+
+
+@query("run_metrics")
+def run_metrics(spark, d):
+    """M1: stage records of a small gated run (ingest + Silver directory)."""
+    from goalpost.runs import RunLog, Stage
+    log = RunLog()
+    base = fresh_path(spark, "runs")
+    with Stage("bronze_diretorio", log, camada="bronze") as st:
+        st.linhas = write_layer(analogue.directory(spark, d), f"{base}/bronze").rows
+    with Stage("silver_diretorio_municipio", log, camada="silver") as st:
+        df, rules = silver.directory(read_layer(spark, f"{base}/bronze"))
+        q.check("silver_diretorio_municipio", df, rules)
+        st.linhas = write_layer(df, f"{base}/silver").rows
+    return log.to_df(spark).select("etapa", "status", "linhas", "contexto", "erro")

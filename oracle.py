@@ -414,3 +414,39 @@ register("union_by_name", [], """
 SELECT c_custkey AS id, c_name AS nome, CAST(c_nationkey AS BIGINT) AS nacao, c_mktsegment AS segmento FROM customer
 UNION ALL BY NAME
 SELECT s_suppkey AS id, s_name AS nome, CAST(s_nationkey AS BIGINT) AS nacao, s_acctbal AS saldo FROM supplier""")
+
+# --- storage round trips ------------------------------------------------------------------
+register("bronze_ingest", "micro", "SELECT * FROM micro")
+register("bronze_reingest", "micro", """
+SELECT * REPLACE (CASE WHEN ano = 1998 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS peso_aluno) FROM micro""")
+register("bronze_null_period", "micro", """
+SELECT count_if(id_escola % 113 <> 0) AS escritos, count_if(id_escola % 113 = 0) AS descartados,
+       count_if(id_escola % 113 <> 0) AS lidos FROM micro""")
+register("partition_prune", "micro", "SELECT * FROM micro WHERE ano = 1998")
+register("gold_roundtrip", "gold_fine", "SELECT * FROM gold_fine")
+
+# --- events -------------------------------------------------------------------------------
+_MSGS = """
+SELECT event_id FROM events UNION ALL SELECT event_id FROM events WHERE event_id % 20 = 5"""
+_REASON = ("CASE event_id % 50 WHEN 0 THEN 'malformed' WHEN 1 THEN 'not an object' "
+           "WHEN 2 THEN 'missing field' WHEN 3 THEN 'invalid constant' END")
+register("event_encode", [], """
+SELECT CAST(event_id AS VARCHAR) AS message_id, event_id, user_id, event_type,
+       CASE WHEN event_id % 40 IN (7, 9) THEN CAST(NULL AS DOUBLE) ELSE value END AS value, props,
+       false AS has_non_finite_text
+FROM events""")
+register("event_validate", [], f"""
+SELECT CAST(event_id AS VARCHAR) AS message_id, event_id, {_REASON} AS motivo, (event_id % 50 > 3) AS valido
+FROM ({_MSGS}) m""")
+register("stream_ingest", [], """
+SELECT CAST(event_id AS VARCHAR) AS message_id, event_id, user_id, event_type, true AS ingerido_hoje
+FROM events WHERE event_id % 50 > 3""")
+register("stream_dedup", [], """
+SELECT CAST(event_id AS VARCHAR) AS message_id,
+       CASE WHEN event_id % 50 > 3 THEN 'accepted' ELSE 'quarantine' END AS destino, CAST(1 AS BIGINT) AS copias
+FROM events""")
+register("stream_quarantine", [], f"""
+SELECT CAST(event_id AS VARCHAR) AS message_id, {_REASON} AS motivo FROM events WHERE event_id % 50 <= 3""")
+register("stream_metrics", [], """
+SELECT count(*) AS lidos, count_if(event_id % 50 > 3) AS gravados, count_if(event_id % 50 <= 3) AS quarentena,
+       count_if(event_id % 50 > 3) AS no_destino FROM events""")
