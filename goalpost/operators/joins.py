@@ -1,9 +1,12 @@
 """Joins with a size-checked broadcast.
 
-A side is broadcast only after a bounded count proves it has at most
+Policy: an explicit ``broadcast`` hint is used only where a huge side would
+otherwise be shuffled to meet a small one (dimension lookups, rank offsets),
+and only after a bounded count proves the small side has at most
 ``max_rows`` rows (``limit(max_rows + 1).count()`` stops early).  Beyond the
-bound the join stays a shuffle join that AQE may still re-plan at run time.
-Equality on keys is null-safe where the reference semantics need it.
+bound the join stays a shuffle join.  Everywhere else Spark decides from its
+size estimate (``autoBroadcastJoinThreshold``) and AQE re-plans from the real
+shuffle sizes at run time.
 """
 
 from __future__ import annotations
@@ -49,16 +52,15 @@ def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: st
     return left.join(r, cond, how).drop(*[f"__r_{c}" for c in on])
 
 
-def existence_flag(df: DataFrame, keys: DataFrame, on: Sequence[str], flag: str = "orfao",
-                   max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def existence_flag(df: DataFrame, keys: DataFrame, on: Sequence[str], flag: str = "orfao") -> DataFrame:
     """Keep every row of ``df`` and add ``flag = key absent from keys`` (boolean).
 
     ``keys`` is reduced to its distinct key tuples first, so the left join
-    never fans out.
+    never fans out; its size is left to Spark's threshold / AQE.
     """
     on = list(on)
     marker = keys.select(*on).distinct().withColumn("__has", F.lit(1))
-    return (df.join(maybe_broadcast(marker, max_broadcast_rows), on, "left")
+    return (df.join(marker, on, "left")
               .withColumn(flag, F.col("__has").isNull())
               .drop("__has"))
 

@@ -26,7 +26,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from goalpost.operators.joins import DEFAULT_BROADCAST_ROWS, maybe_broadcast
 
 log = logging.getLogger("goalpost.quality")
 
@@ -109,8 +108,7 @@ def _alias(i: int) -> str:
     return f"__r{i}"
 
 
-def evaluate(df: DataFrame, rules: Sequence[Rule],
-             max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def evaluate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """One-plan report: ``position, rule, severity, violations (bigint), failed (bool)``."""
     if not rules:
         raise ValueError("empty rule set")
@@ -136,7 +134,8 @@ def evaluate(df: DataFrame, rules: Sequence[Rule],
     for i, r in orphan_rules:
         per_key = df.groupBy(*r.columns).agg(F.count(F.lit(1)).alias("__n"))
         ref = r.reference.select(*[F.col(rc).alias(c) for rc, c in zip(r.reference_columns, r.columns)]).distinct()
-        missing = per_key.join(maybe_broadcast(ref, max_broadcast_rows), list(r.columns), "left_anti")
+        # both sides are distinct keys by now: Spark's size threshold / AQE pick the join
+        missing = per_key.join(ref, list(r.columns), "left_anti")
         parts.append(missing.agg(F.sum("__n").alias(_alias(i))))
 
     wide = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
@@ -170,6 +169,6 @@ def gate(table: str, report: DataFrame | Sequence[Row]) -> list[Row]:
     return rows
 
 
-def check(table: str, df: DataFrame, rules: Sequence[Rule], **kw) -> list[Row]:
+def check(table: str, df: DataFrame, rules: Sequence[Rule]) -> list[Row]:
     """``gate(table, evaluate(df, rules))`` -- one action for the whole rule set."""
-    return gate(table, evaluate(df, rules, **kw))
+    return gate(table, evaluate(df, rules))

@@ -31,8 +31,17 @@ MIN_PARTICIPATION = 70.0      # targets exist only for cells at >= 70 % particip
 # ----------------------------------------------------------------------------
 
 
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The shared input table; one DataFrame per session and path (listing and
+    footer read once, and identical scans let Spark reuse exchanges)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark._jsparkSession), path)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(path)
+    return _TABLES[key]
 
 
 def _micro_columns() -> list:

@@ -32,11 +32,12 @@ def silver_target_coarse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def integrated_fine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return integration.integrate_fine(silver_fine(spark, sf_dir), silver_target_fine(spark, sf_dir))[0]
+    return integration.integrate_level(silver_fine(spark, sf_dir), silver_target_fine(spark, sf_dir),
+                                       "id_municipio", ["nome", "sigla_uf"])
 
 
 def integrated_coarse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return integration.integrate_coarse(silver_coarse(spark, sf_dir), silver_target_coarse(spark, sf_dir))[0]
+    return integration.integrate_level(silver_coarse(spark, sf_dir), silver_target_coarse(spark, sf_dir), "sigla_uf")
 
 
 def gold_indicator(spark: SparkSession, sf_dir: str) -> DataFrame:

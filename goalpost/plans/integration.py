@@ -37,15 +37,24 @@ def consistency(ind: DataFrame, meta: DataFrame, geo: str) -> DataFrame:
 
 
 def integrate_level(indicator: DataFrame, target: DataFrame, geo: str, extra: Sequence[str] = (),
-                    network: str = REDE_MUNICIPAL) -> tuple[DataFrame, DataFrame]:
-    """(integrated table, consistency report) for one geographic level."""
+                    network: str = REDE_MUNICIPAL) -> DataFrame:
+    """Integrated table for one geographic level (lazy; no action)."""
     ind, meta = _inputs(indicator, target, geo, extra, network)
-    return integrate(ind, meta, [geo, "ano"]), consistency(ind, meta, geo)
+    return integrate(ind, meta, [geo, "ano"])
+
+
+def level_consistency(indicator: DataFrame, target: DataFrame, geo: str, extra: Sequence[str] = (),
+                      network: str = REDE_MUNICIPAL) -> DataFrame:
+    """The Q10 report for one level, to be gated before ``integrate_level`` is written."""
+    return consistency(*_inputs(indicator, target, geo, extra, network), geo)
 
 
 def integrate_fine(indicator: DataFrame, target: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return integrate_level(indicator, target, "id_municipio", ["nome", "sigla_uf"])
+    """(integrated, consistency report) -- both lazy."""
+    return (integrate_level(indicator, target, "id_municipio", ["nome", "sigla_uf"]),
+            level_consistency(indicator, target, "id_municipio", ["nome", "sigla_uf"]))
 
 
 def integrate_coarse(indicator: DataFrame, target: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return integrate_level(indicator, target, "sigla_uf")
+    return (integrate_level(indicator, target, "sigla_uf"),
+            level_consistency(indicator, target, "sigla_uf"))

@@ -191,34 +191,44 @@ for _name, _fn in {
 
 
 # --- dashboard marts -------------------------------------------------------------
+# The dashboard reads the Gold layer: each mart query first writes the Gold
+# table(s) it needs (once), then aggregates the files -- the latest-period
+# self-join never recomputes the upstream plan.
+def _gold_tables(spark, d, *names):
+    from goalpost.sources.layers import materialize
+    build = {"attainment": chain.gold_attainment, "evolution": chain.gold_evolution, "gap": chain.gold_gap}
+    out = [materialize(build[n](spark, d), f"gold-{n}") for n in names]
+    return out[0] if len(out) == 1 else out
+
+
 @query("latest_period")
 def latest_period(spark, d):
-    return dashboard.latest_period(chain.gold_attainment(spark, d), chain.gold_evolution(spark, d))
+    return dashboard.latest_period(*_gold_tables(spark, d, "attainment", "evolution"))
 
 
 @query("rank_latest")
 def rank_latest(spark, d):
-    return dashboard.rank_latest(chain.gold_attainment(spark, d))
+    return dashboard.rank_latest(_gold_tables(spark, d, "attainment"))
 
 
 @query("target_vs_result")
 def target_vs_result(spark, d):
-    return dashboard.target_vs_result(chain.gold_attainment(spark, d))
+    return dashboard.target_vs_result(_gold_tables(spark, d, "attainment"))
 
 
 @query("trend_direction")
 def trend_direction(spark, d):
-    return dashboard.trend_direction(chain.gold_evolution(spark, d))
+    return dashboard.trend_direction(_gold_tables(spark, d, "evolution"))
 
 
 @query("topk_gap")
 def topk_gap(spark, d):
-    return dashboard.topk_gap(chain.gold_gap(spark, d))
+    return dashboard.topk_gap(_gold_tables(spark, d, "gap"))
 
 
 @query("kpi_latest")
 def kpi_latest(spark, d):
-    return dashboard.kpis(chain.gold_attainment(spark, d), chain.gold_evolution(spark, d), chain.gold_gap(spark, d))
+    return dashboard.kpis(*_gold_tables(spark, d, "attainment", "evolution", "gap"))
 
 
 # --- profile, union --------------------------------------------------------------
