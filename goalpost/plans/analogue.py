@@ -53,7 +53,7 @@ def _micro_columns() -> list:
         F.col("l_partkey").alias("id_escola"),
         # (order, line, part, supplier, ship day) is the unique row key of lineitem
         F.concat_ws("-", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")],
-                    F.date_format("l_shipdate", "MMdd")).alias("id_aluno"),
+                    F.dayofyear("l_shipdate").cast("string")).alias("id_aluno"),
         F.lit("2").alias("serie"),
         F.when(F.col("l_tax") == F.lit(STATE_NETWORK_TAX), F.lit("2")).otherwise(F.lit("3")).alias("rede"),
         flag.alias("presenca"),

@@ -195,10 +195,17 @@ for _name, _fn in {
 # table(s) it needs (once), then aggregates the files -- the latest-period
 # self-join never recomputes the upstream plan.
 def _gold_tables(spark, d, *names):
+    from goalpost.plans import gold
     from goalpost.sources.layers import materialize
-    build = {"attainment": chain.gold_attainment, "evolution": chain.gold_evolution, "gap": chain.gold_gap}
-    out = [materialize(build[n](spark, d), f"gold-{n}") for n in names]
-    return out[0] if len(out) == 1 else out
+    out = {}
+    if {"attainment", "evolution"} & set(names):
+        # both coarse marts are cheap projections of one written integrated table
+        coarse = materialize(chain.integrated_coarse(spark, d), "silver-uf-integrado")
+        out["attainment"], out["evolution"] = gold.attainment(coarse), gold.evolution(coarse)
+    if "gap" in names:
+        out["gap"] = materialize(chain.gold_gap(spark, d), "gold-indicador")
+    res = [out[n] for n in names]
+    return res[0] if len(res) == 1 else res
 
 
 @query("latest_period")

@@ -57,33 +57,29 @@ def is_object(body: Column) -> Column:
     return F.coalesce(body.rlike(r"^[ \t\n\r]*\{"), F.lit(False))
 
 
-def strict_object_parse(body: Column) -> Column:
-    """True when an object body also parses with single quotes and NaN refused."""
-    schema = T.StructType([T.StructField("_corrupt_record", T.StringType())])
-    parsed = F.from_json(body, schema, {"allowNonNumericNumbers": "false", "allowSingleQuotes": "false",
-                                        "allowUnquotedFieldNames": "false", "mode": "PERMISSIVE",
-                                        "columnNameOfCorruptRecord": "_corrupt_record"})
-    return F.coalesce(parsed["_corrupt_record"].isNull(), F.lit(False))
-
-
-def required_present(body: Column, required: Sequence[str]) -> Column:
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in required])
-    parsed = F.from_json(body, schema, {"allowNonNumericNumbers": "false", "allowSingleQuotes": "false"})
-    cond = F.lit(True)
-    for c in required:
-        cond = cond & parsed[c].isNotNull()
-    return F.coalesce(cond, F.lit(False))
+def _parse(body: Column, required: Sequence[str]) -> Column:
+    """One strict parse: the required fields as strings plus the corrupt-record marker."""
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in required]
+                          + [T.StructField("_corrupt_record", T.StringType())])
+    return F.from_json(body, schema, {"allowNonNumericNumbers": "false", "allowSingleQuotes": "false",
+                                      "allowUnquotedFieldNames": "false", "mode": "PERMISSIVE",
+                                      "columnNameOfCorruptRecord": "_corrupt_record"})
 
 
 def rejection_reason(body: str | Column, required: Sequence[str]) -> Column:
     """Null for a valid event, else the first failing check in the reference's order."""
     b = F.col(body) if isinstance(body, str) else body
-    well_formed = is_strict_value(b) & (~is_object(b) | strict_object_parse(b))
+    parsed = _parse(b, required)
+    obj = is_object(b)
+    well_formed = is_strict_value(b) & (~obj | F.coalesce(parsed["_corrupt_record"].isNull(), F.lit(False)))
+    present = F.lit(True)
+    for c in required:
+        present = present & parsed[c].isNotNull()
     return (F.when(~well_formed,
                    F.when(F.coalesce(b.rlike(_NON_FINITE_TOKEN), F.lit(False)), F.lit(INVALID_CONSTANT))
                     .otherwise(F.lit(MALFORMED)))
-             .when(~is_object(b), F.lit(NOT_OBJECT))
-             .when(~required_present(b, required), F.lit(MISSING_FIELD)))
+             .when(~obj, F.lit(NOT_OBJECT))
+             .when(~F.coalesce(present, F.lit(False)), F.lit(MISSING_FIELD)))
 
 
 def validate(messages: DataFrame, required: Sequence[str], body: str = "body") -> DataFrame:

@@ -44,7 +44,7 @@ def cte(name: str, deps: list[str], body: str) -> None:
 cte("micro_src", [], f"""
   SELECT year(l_shipdate) AS ano, l_suppkey AS id_municipio, l_partkey AS id_escola,
          concat_ws('-', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR), CAST(l_partkey AS VARCHAR),
-                   CAST(l_suppkey AS VARCHAR), strftime(l_shipdate, '%m%d')) AS id_aluno, '2' AS serie,
+                   CAST(l_suppkey AS VARCHAR), CAST(dayofyear(l_shipdate) AS VARCHAR)) AS id_aluno, '2' AS serie,
          CASE WHEN l_tax = 0.08::DOUBLE THEN '2' ELSE '3' END AS rede,
          CASE WHEN l_discount > 0.02::DOUBLE THEN '1' ELSE '0' END AS presenca,
          CASE WHEN l_discount > 0.02::DOUBLE THEN '1' ELSE '0' END AS preenchimento_caderno,
