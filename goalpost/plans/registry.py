@@ -1,7 +1,7 @@
 """Named queries: one callable ``(spark, sf_dir) -> DataFrame`` per operator/job.
 
 Each reads the shared test tables through ``analogue`` / ``chain`` so its
-work grows with them.  The SQL oracle for each key is in ``oracle.py``.
+work grows with them.  The SQL oracle for each key is in ``sql_oracle.py``.
 """
 
 from __future__ import annotations

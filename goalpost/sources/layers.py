@@ -78,9 +78,15 @@ def materialize(df: DataFrame, name: str, partition_by: str | Sequence[str] | No
 
 
 def read_all(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Bag union of several tables by column name; missing columns become null."""
+    """Bag union of several tables by column name; missing columns become null.
+
+    Like the reference, a table folder without any Parquet file is an error
+    (Spark alone only fails on a missing path).
+    """
     if not paths:
         raise FileNotFoundError("no input table")
+    for p in paths:
+        require_files(p)
     frames = [spark.read.parquet(p) for p in paths]
     out = frames[0]
     for f in frames[1:]:

@@ -73,3 +73,10 @@ def test_profile_counts_and_preview(spark):
     assert prev.columns == ["id_municipio", "nome", "sigla_uf"] and prev.first().id_municipio == 1
     counts2, _ = profile(df.drop("sigla_uf"))
     assert counts2.columns == ["total_linhas"]
+
+
+def test_empty_table_folder_is_an_error(spark, scratch):
+    import os
+    os.makedirs(f"{scratch}/empty/ano=2024")
+    with pytest.raises(FileNotFoundError):
+        read_all(spark, [f"{scratch}/empty"])
