@@ -23,6 +23,7 @@ class WriteResult:
     path: str
     rows: int
     dropped_null_partition: int = 0
+    partitions: tuple = ()      # sorted distinct values written (single partition column)
 
 
 def read_layer(spark: SparkSession, path: str, schema: StructType | None = None,
@@ -50,8 +51,11 @@ def write_layer(df: DataFrame, path: str, partition_by: str | Sequence[str] | No
         for p in parts:
             null_part = null_part | F.col(p).isNull()
         df = df.withColumn("__null_part", null_part)
+        # The folder values are observed in the same pass (one value per folder)
+        seen = (F.array_sort(F.collect_set(F.col(parts[0]))) if len(parts) == 1
+                else F.array().cast("array<string>"))
         df = df.observe(obs, F.count(F.lit(1)).alias("rows"),
-                        F.count_if(F.col("__null_part")).alias("dropped"))
+                        F.count_if(F.col("__null_part")).alias("dropped"), seen.alias("values"))
         df = df.filter(~F.col("__null_part")).drop("__null_part")
     else:
         df = df.observe(obs, F.count(F.lit(1)).alias("rows"), F.lit(0).alias("dropped"))
@@ -63,7 +67,7 @@ def write_layer(df: DataFrame, path: str, partition_by: str | Sequence[str] | No
     writer.parquet(path)
     got = obs.get
     rows, dropped = int(got.get("rows", 0)), int(got.get("dropped", 0))
-    return WriteResult(path, rows - dropped, dropped)
+    return WriteResult(path, rows - dropped, dropped, tuple(got.get("values") or ()))
 
 
 def materialize(df: DataFrame, name: str, partition_by: str | Sequence[str] | None = None) -> DataFrame:

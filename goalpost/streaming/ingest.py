@@ -35,7 +35,13 @@ class IngestMetrics:
 
 def prepare(messages: DataFrame, required: Sequence[str], event_time: str = "sent_ts",
             watermark: str = "1 hour") -> DataFrame:
-    """Dedup redelivered messages (same id) inside the watermark, then validate."""
+    """Dedup redelivered messages (same id) inside the watermark, then validate.
+
+    A message without an id gets a fresh one (as the reference falls back to
+    the clock): it is kept, never merged with other id-less messages, and --
+    as in the reference -- not idempotent.
+    """
+    messages = messages.withColumn("message_id", F.coalesce(F.col("message_id"), F.expr("uuid()")))
     deduped = (messages.withWatermark(event_time, watermark)
                        .dropDuplicatesWithinWatermark(["message_id"]))
     return validate(deduped, required)

@@ -14,6 +14,7 @@ def _df(spark):
 def test_null_period_rows_dropped_and_counted(spark, scratch):
     res = write_layer(_df(spark), f"{scratch}/t", "ano")
     assert (res.rows, res.dropped_null_partition) == (3, 1)
+    assert res.partitions == (2023, 2024)           # A14: sorted distinct non-null values
     back = read_layer(spark, f"{scratch}/t")
     assert back.count() == 3 and "ano" in back.columns
 

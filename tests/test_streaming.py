@@ -94,3 +94,17 @@ def test_fail_mode_stops_before_writing_the_batch(spark, scratch):
         _run(spark, scratch, mode="fail")
     import os
     assert not os.path.exists(f"{scratch}/out/accepted")
+
+
+def test_messages_without_id_are_kept_apart(spark, scratch):
+    from pyspark.sql import functions as F
+    msgs = spark.createDataFrame(
+        [(None, '{"event_id":1,"user_id":2,"event_type":"x"}'), (None, '{"event_id":2,"user_id":2,"event_type":"y"}'),
+         ("7", '{"event_id":7,"user_id":2,"event_type":"z"}'), ("7", '{"event_id":7,"user_id":2,"event_type":"z"}')],
+        "message_id string, body string").withColumn("sent_ts", F.current_timestamp())
+    msgs.write.parquet(f"{scratch}/in")
+    stream = spark.readStream.schema(msgs.schema).parquet(f"{scratch}/in")
+    m = ing.run_ingest(stream, f"{scratch}/out", f"{scratch}/ck", src.REQUIRED)
+    acc = spark.read.parquet(f"{scratch}/out/accepted")
+    assert m.totals()["gravados"] == 3 and acc.count() == 3
+    assert acc.filter(F.col("message_id").isNull()).count() == 0
