@@ -52,3 +52,25 @@ def shared_dir(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A not-yet-existing path under the shared folder for one job's output."""
     return f"{shared_dir(spark)}/goalpost/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def cluster_conf(largest_shuffle_bytes: int, executor_cores: int, executors: int,
+                 target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings to pass to a cluster session (not applied by the library).
+
+    Shuffle partitions are sized so the largest shuffle lands at about
+    ``target_partition_bytes`` per reducer (AQE then coalesces small stages
+    and splits skewed partitions), and never below two waves of tasks.
+    """
+    slots = max(1, executor_cores * executors)
+    parts = max(2 * slots, -(-largest_shuffle_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.sources.partitionOverwriteMode": "static",
+    }
