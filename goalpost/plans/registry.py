@@ -412,9 +412,9 @@ def stream_metrics(spark, d):
 @query("sample_n")
 def sample_n(spark, d, n: int = 20, seed: int = 42):
     """Exactly ``min(n, rows)`` rows of the latest year, seeded, encoded as events."""
+    from goalpost.operators.sampling import sample_exact
     latest = dashboard.at_latest(analogue.micro(spark, d))
-    picked = latest.orderBy(F.xxhash64(F.col("id_aluno"), F.lit(seed)), F.col("id_aluno")).limit(n)
-    return _ev.encode(picked, "id_aluno")
+    return _ev.encode(sample_exact(latest, n, "id_aluno", seed), "id_aluno")
 
 
 @query("run_metrics")

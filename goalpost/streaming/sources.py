@@ -59,3 +59,13 @@ def message_stream(spark: SparkSession, sf_dir: str, max_files: int = 1) -> Data
     events = (spark.readStream.schema(EVENTS_SCHEMA).option("pathGlobFilter", "events.parquet")
                    .option("maxFilesPerTrigger", max_files).parquet(sf_dir))
     return messages_from(events)
+
+
+def write_replay(df: DataFrame, id_col: str, n: int, path: str, seed: int = 42) -> str:
+    """T8 as a batch job: a seeded sample of ``min(n, rows)`` rows, encoded as events
+    (non-finite -> null), written as a message table a stream can replay."""
+    from goalpost.operators.sampling import sample_exact
+    from goalpost.streaming.events import encode
+    msgs = encode(sample_exact(df, n, id_col, seed), id_col).withColumn("sent_ts", F.current_timestamp())
+    msgs.write.mode("overwrite").parquet(path)
+    return path
