@@ -2,8 +2,8 @@
 
 Policy: an explicit ``broadcast`` hint is used only where a huge side would
 otherwise be shuffled to meet a small one (dimension lookups, rank offsets),
-and only after a bounded count proves the small side has at most
-``max_rows`` rows (``limit(max_rows + 1).count()`` stops early).  Beyond the
+and only after a distributed count proves the small side has at most
+``max_rows`` rows.  Beyond the
 bound the join stays a shuffle join.  Everywhere else Spark decides from its
 size estimate (``autoBroadcastJoinThreshold``) and AQE re-plans from the real
 shuffle sizes at run time.
@@ -21,8 +21,14 @@ DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (bounded scan)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    A plain distributed ``count()`` (partial count per partition, one tiny
+    merge): ``limit(n + 1).count()`` would look cheaper but plans a
+    ``SinglePartition`` exchange above the per-partition limits, funnelling up
+    to every row of a huge side through one task.
+    """
+    return df.count() <= max_rows
 
 
 def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
