@@ -32,7 +32,11 @@ CASES = ['{"a":1} x', '{"a":1}, {"b":2}', '{"a":1}] [', '', ' ', 'null', '1', '"
          '{"event_id":1,"user_id":2,"event_type":"x","v":-Infinity}', ' {"event_id":1,"user_id":2,"event_type":"x"} ',
          '\t{"event_id":1,"user_id":2,"event_type":"x"}\n', '{"event_id":1,"user_id":2,"event_type":"x"}}',
          '{"event_id":1,"event_id":2,"user_id":2,"event_type":"x"}', '{"event_id":1,"user_id":2,"event_type":"x",}',
-         '{"event_id":01,"user_id":2,"event_type":"x"}', '{"event_id":"NaN","user_id":2,"event_type":"x"}']
+         '{"event_id":01,"user_id":2,"event_type":"x"}', '{"event_id":"NaN","user_id":2,"event_type":"x"}',
+         # trailing text that a plain from_json accepts
+         '{"event_id":1,"user_id":2,"event_type":"x"}//c', '{"event_id":1,"user_id":2,"event_type":"x"}/*c*/',
+         '{"event_id":1,"user_id":2,"event_type":"x"} {"b":2}', '{"event_id":1,"user_id":2,"event_type":"x"}#c',
+         '{"event_id":1,"user_id":2,"event_type":"x","v":1e5}', '{"event_id":1,"user_id":2,"event_type":"x","v":.5}']
 
 
 def _python_reason(body):
