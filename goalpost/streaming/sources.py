@@ -54,8 +54,8 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messages_from(spark.read.parquet(f"{sf_dir}/events.parquet"))
 
 
-def message_stream(spark: SparkSession, sf_dir: str, max_files: int = 1) -> DataFrame:
-    """The same messages as a file stream over the events table."""
+def message_stream(spark: SparkSession, sf_dir: str, max_files: int = 100) -> DataFrame:
+    """The same messages as a file stream over the events table (``max_files`` bounds a micro-batch)."""
     events = (spark.readStream.schema(EVENTS_SCHEMA).option("pathGlobFilter", "events.parquet")
                    .option("maxFilesPerTrigger", max_files).parquet(sf_dir))
     return messages_from(events)
