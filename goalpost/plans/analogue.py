@@ -97,18 +97,23 @@ def _indicator(roll: DataFrame, keys: list[str]) -> DataFrame:
                         .alias("media_portugues"))
 
 
-def indicator_fine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``municipio``: rate and mean score per (ano, id_municipio, serie, rede)."""
-    return _indicator(fine_rollup(spark, sf_dir), ["ano", "id_municipio", "serie", "rede"])
+def indicator_fine(spark: SparkSession, sf_dir: str, roll: DataFrame | None = None) -> DataFrame:
+    """``municipio``: rate and mean score per (ano, id_municipio, serie, rede).
+
+    ``roll`` (the fine rollup) can be passed in when several tables derive
+    from one written rollup, so the micro table is not rolled up again.
+    """
+    roll = fine_rollup(spark, sf_dir) if roll is None else roll
+    return _indicator(roll, ["ano", "id_municipio", "serie", "rede"])
 
 
-def indicator_coarse(spark: SparkSession, sf_dir: str) -> DataFrame:
+def indicator_coarse(spark: SparkSession, sf_dir: str, roll: DataFrame | None = None) -> DataFrame:
     """``uf``: fine counts summed per (state, year, network, grade).
 
     Rolled up first, then joined to the directory: the join sees one row per
     cell, not one per student.
     """
-    roll = fine_rollup(spark, sf_dir)
+    roll = fine_rollup(spark, sf_dir) if roll is None else roll
     geo = directory(spark, sf_dir).select("id_municipio", "sigla_uf")
     per_state = (roll.join(geo, "id_municipio")
                      .groupBy("sigla_uf", "ano", "rede", "serie")
@@ -121,9 +126,9 @@ def _target_levels(meta_2030):
             for y, d in ((2024, 15.0), (2026, 10.0), (2028, 5.0))] + [meta_2030.alias("meta_alfabetizacao_2030")]
 
 
-def target_fine(spark: SparkSession, sf_dir: str) -> DataFrame:
+def target_fine(spark: SparkSession, sf_dir: str, roll: DataFrame | None = None) -> DataFrame:
     """``meta_municipio``: municipal-network cells with participation >= 70 %."""
-    roll = fine_rollup(spark, sf_dir).filter(F.col("rede") == "3")
+    roll = (fine_rollup(spark, sf_dir) if roll is None else roll).filter(F.col("rede") == "3")
     geo = F.col("id_municipio")
     meta = F.when(geo % 50 == 49, F.lit(0.0)).otherwise((F.lit(25) + F.lit(5) * (geo % 5)).cast("double"))
     return (roll.filter(pct("n_prova", "n_matric", 1) >= F.lit(MIN_PARTICIPATION))
@@ -132,9 +137,9 @@ def target_fine(spark: SparkSession, sf_dir: str) -> DataFrame:
                         *_target_levels(meta)))
 
 
-def target_coarse(spark: SparkSession, sf_dir: str) -> DataFrame:
+def target_coarse(spark: SparkSession, sf_dir: str, roll: DataFrame | None = None) -> DataFrame:
     """``meta_uf``: state targets; some states have none, some a null 2030 target."""
-    ind = indicator_coarse(spark, sf_dir).filter(F.col("rede") == "3")
+    ind = indicator_coarse(spark, sf_dir, roll).filter(F.col("rede") == "3")
     nation = table(spark, sf_dir, "nation")
     k = F.col("n_nationkey")
     meta = (F.when(k % 9 == 4, F.lit(None).cast("double"))
@@ -145,9 +150,9 @@ def target_coarse(spark: SparkSession, sf_dir: str) -> DataFrame:
                .select("ano", "rede", "sigla_uf", "taxa_alfabetizacao", *_target_levels(meta)))
 
 
-def target_country(spark: SparkSession, sf_dir: str) -> DataFrame:
+def target_country(spark: SparkSession, sf_dir: str, roll: DataFrame | None = None) -> DataFrame:
     """``meta_brasil``: one national target per (year, network)."""
-    roll = fine_rollup(spark, sf_dir)
+    roll = fine_rollup(spark, sf_dir) if roll is None else roll
     per_year = roll.groupBy("ano", "rede").agg(F.sum("n_prova").alias("n_prova"), F.sum("n_alfab").alias("n_alfab"))
     return per_year.select("ano", "rede", pct("n_alfab", "n_prova", 2).alias("taxa_alfabetizacao"),
                            *_target_levels(F.lit(60.0)))

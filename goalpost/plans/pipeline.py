@@ -17,7 +17,7 @@ from goalpost.operators import quality as q
 from goalpost.plans import analogue, gold, integration, silver
 from goalpost.runs import RunLog, Stage
 from goalpost.sources.ingest import Source, ingest
-from goalpost.sources.layers import read_layer, write_layer
+from goalpost.sources.layers import materialize, read_layer, write_layer
 
 
 @dataclass(frozen=True)
@@ -29,14 +29,26 @@ class Layout:
 
 
 def analogue_sources(sf_dir: str) -> list[Source]:
-    """The seven Bronze sources, derived from the shared test tables."""
+    """The seven Bronze sources, derived from the shared test tables.
+
+    The five indicator/target sources all derive from the fine rollup of the
+    micro table; it is written once to the shared folder (on first use) and
+    read by all five, so the micro table is rolled up once, not five times.
+    """
+    shared: dict[str, DataFrame] = {}
+
+    def roll(s: SparkSession) -> DataFrame:
+        if "roll" not in shared:
+            shared["roll"] = materialize(analogue.fine_rollup(s, sf_dir), "fine-rollup")
+        return shared["roll"]
+
     return [
         Source("alunos", lambda s: analogue.micro(s, sf_dir), "ano"),
-        Source("municipio", lambda s: analogue.indicator_fine(s, sf_dir), "ano"),
-        Source("uf", lambda s: analogue.indicator_coarse(s, sf_dir), "ano"),
-        Source("meta_brasil", lambda s: analogue.target_country(s, sf_dir), "ano"),
-        Source("meta_uf", lambda s: analogue.target_coarse(s, sf_dir), "ano"),
-        Source("meta_municipio", lambda s: analogue.target_fine(s, sf_dir), "ano"),
+        Source("municipio", lambda s: analogue.indicator_fine(s, sf_dir, roll(s)), "ano"),
+        Source("uf", lambda s: analogue.indicator_coarse(s, sf_dir, roll(s)), "ano"),
+        Source("meta_brasil", lambda s: analogue.target_country(s, sf_dir, roll(s)), "ano"),
+        Source("meta_uf", lambda s: analogue.target_coarse(s, sf_dir, roll(s)), "ano"),
+        Source("meta_municipio", lambda s: analogue.target_fine(s, sf_dir, roll(s)), "ano"),
         Source("diretorio_municipio", lambda s: analogue.directory(s, sf_dir), None),
     ]
 
