@@ -31,17 +31,19 @@ MIN_PARTICIPATION = 70.0      # targets exist only for cells at >= 70 % particip
 # ----------------------------------------------------------------------------
 
 
-_TABLES: dict[tuple[int, str], DataFrame] = {}
+_TABLES: dict[str, tuple[SparkSession, DataFrame]] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The shared input table; one DataFrame per session and path (listing and
-    footer read once, and identical scans let Spark reuse exchanges)."""
+    footer read once, and identical scans let Spark reuse exchanges).  A
+    DataFrame is reused only for the very same live session object."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark._jsparkSession), path)
-    if key not in _TABLES:
-        _TABLES[key] = spark.read.parquet(path)
-    return _TABLES[key]
+    cached = _TABLES.get(path)
+    if cached is None or cached[0] is not spark or spark.sparkContext._jsc is None:
+        cached = (spark, spark.read.parquet(path))
+        _TABLES[path] = cached
+    return cached[1]
 
 
 def _micro_columns() -> list:

@@ -359,11 +359,12 @@ def _stream_run(spark, d, mode="quarantine"):
 
 
 def _read_or_empty(spark, path, schema):
-    import os
-    local = path.removeprefix("file:")
-    if path.startswith(("file:", "/")) and not os.path.isdir(local):
+    """A sink table that may not exist yet (no rejected event at all) reads as empty."""
+    from pyspark.errors import AnalysisException
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
         return spark.createDataFrame([], schema)
-    return spark.read.parquet(path)
 
 
 _Q_SCHEMA = "message_id string, body string, motivo string, dt_ingestao date, batch_id int"
