@@ -412,10 +412,16 @@ def stream_metrics(spark, d):
 # --- sampling and run records (rows-only checks) ------------------------------------------
 @query("sample_n")
 def sample_n(spark, d, n: int = 20, seed: int = 42):
-    """Exactly ``min(n, rows)`` rows of the latest year, seeded, encoded as events."""
+    """Exactly ``min(n, rows)`` rows of the latest year, seeded, encoded as events
+    (fields parsed back from the bodies for the round-trip check)."""
     from goalpost.operators.sampling import sample_exact
     latest = dashboard.at_latest(analogue.micro(spark, d))
-    return _ev.encode(sample_exact(latest, n, "id_aluno", seed), "id_aluno")
+    enc = _ev.encode(sample_exact(latest, n, "id_aluno", seed), "id_aluno")
+    schema = T.StructType([T.StructField("ano", T.LongType()), T.StructField("id_municipio", T.LongType()),
+                           T.StructField("id_aluno", T.StringType()), T.StructField("alfabetizado", T.StringType()),
+                           T.StructField("proficiencia", T.DoubleType())])
+    p = F.from_json("body", schema)
+    return enc.select("message_id", *[p[f.name].alias(f.name) for f in schema.fields])
 
 
 @query("run_metrics")

@@ -450,3 +450,8 @@ SELECT CAST(event_id AS VARCHAR) AS message_id, {_REASON} AS motivo FROM events
 register("stream_metrics", [], """
 SELECT count(*) AS lidos, count_if(event_id % 50 > 3) AS gravados, count_if(event_id % 50 <= 3) AS quarentena,
        count_if(event_id % 50 > 3) AS no_destino FROM events""")
+
+register("sample_n", "micro", """
+SELECT id_aluno AS message_id, ano, id_municipio, id_aluno, alfabetizado, proficiencia
+FROM micro WHERE ano = (SELECT max(ano) FROM micro)
+ORDER BY md5(id_aluno || ':42'), id_aluno LIMIT 20""")
