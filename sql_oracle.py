@@ -455,3 +455,9 @@ register("sample_n", "micro", """
 SELECT id_aluno AS message_id, ano, id_municipio, id_aluno, alfabetizado, proficiencia
 FROM micro WHERE ano = (SELECT max(ano) FROM micro)
 ORDER BY md5(id_aluno || ':42'), id_aluno LIMIT 20""")
+register("run_metrics", "directory", """
+SELECT 'bronze_diretorio' AS etapa, 'sucesso' AS status, count(*) AS linhas, '{"camada": "bronze"}' AS contexto,
+       CAST(NULL AS VARCHAR) AS erro FROM directory
+UNION ALL
+SELECT 'silver_diretorio_municipio', 'sucesso', count(*), '{"camada": "silver"}', CAST(NULL AS VARCHAR)
+FROM (SELECT DISTINCT * FROM directory) d""")
