@@ -12,12 +12,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from goalpost.functions.codes import REDE_MUNICIPAL, decode_all, CODEBOOKS
+from goalpost.functions.codes import CODEBOOKS, REDE_MUNICIPAL, decode_all
 from goalpost.operators import quality as q
 from goalpost.operators.aggregate import dedup_full, micro_rollup
 from goalpost.operators.joins import lookup
 from goalpost.plans import analogue, analysis, chain, dashboard, integration, silver
-from goalpost.sources.layers import profile, union_by_name
+from goalpost.plans import gold as _gold
+from goalpost.session import fresh_path
+from goalpost.sources.ingest import Source, ingest
+from goalpost.sources.layers import profile, read_layer, union_by_name, write_layer
+from goalpost.streaming import events as _ev
+from goalpost.streaming import ingest as _ing
+from goalpost.streaming import sources as _src
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -195,8 +201,8 @@ for _name, _fn in {
 # table(s) it needs (once), then aggregates the files -- the latest-period
 # self-join never recomputes the upstream plan.
 def _gold_tables(spark, d, *names):
-    from goalpost.plans import gold
     from goalpost.sources.layers import materialize
+    gold = _gold
     out = {}
     if {"attainment", "evolution"} & set(names):
         # both coarse marts are cheap projections of one written integrated table
@@ -264,10 +270,6 @@ def union_by_name_q(spark, d):
 
 
 # --- layered storage round trips (S2-S5, S8-S11, A14) ----------------------------
-from goalpost.plans import gold as _gold  # noqa: E402
-from goalpost.sources.ingest import Source, ingest  # noqa: E402
-from goalpost.sources.layers import read_layer, write_layer  # noqa: E402
-from goalpost.session import fresh_path  # noqa: E402
 
 
 def _bronze(spark, d, sources):
@@ -323,9 +325,6 @@ def gold_roundtrip(spark, d):
 
 
 # --- streaming (T1-T8, S12) -----------------------------------------------------------
-from goalpost.streaming import events as _ev  # noqa: E402
-from goalpost.streaming import ingest as _ing  # noqa: E402
-from goalpost.streaming import sources as _src  # noqa: E402
 
 _PARSED = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType()),
                         T.StructField("event_type", T.StringType()), T.StructField("value", T.DoubleType()),

@@ -20,7 +20,6 @@ def test_full_pipeline_matches_lazy_chain(spark, scratch):
 
 def test_gate_blocks_the_write(spark, scratch):
     from goalpost.plans import silver
-    from goalpost.sources.layers import write_layer
     df, rules = silver.micro(analogue.dirty_micro(spark, SF), chain.silver_directory(spark, SF))
     with pytest.raises(q.QualityError) as e:
         q.check("silver_alunos", df, rules)
@@ -29,7 +28,12 @@ def test_gate_blocks_the_write(spark, scratch):
         assert rule in msg
     # exact copies are removed before the rules run, so no duplicate key is left
     assert "duplicate key" not in msg
-    # the gated job never reaches its write
+    # the gated pipeline step raises before its write
+    from goalpost.plans.pipeline import _gated_write
+    from goalpost.runs import RunLog
+    log = RunLog()
+    with pytest.raises(q.QualityError):
+        _gated_write("silver_alunos", df, rules, f"{scratch}/silver_alunos", "ano", log, "silver")
     import os
     assert not os.path.exists(f"{scratch}/silver_alunos")
-    assert write_layer  # imported for symmetry with the pipeline
+    assert log.records[-1]["status"] == "erro"
