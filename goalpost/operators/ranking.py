@@ -48,7 +48,8 @@ def row_number_within(df: DataFrame, group: Sequence[str], order: Sequence[Colum
     for c in group:
         cond = cond & F.col(c).eqNullSafe(F.col(f"__g_{c}"))
     joined = tagged.join(maybe_broadcast(starts, max_broadcast_rows), cond, "inner")
-    return (joined.withColumn(name, (F.col("__mid") - F.col("__first") + F.col("__before") + 1).cast("int"))
+    # bigint: a hot group can hold more than 2^31 rows at scale
+    return (joined.withColumn(name, (F.col("__mid") - F.col("__first") + F.col("__before") + 1).cast("long"))
                   .select(*df.columns, name))
 
 
