@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from goalpost.operators import quality as q
 from goalpost.plans import analogue, gold, integration, silver
@@ -111,15 +112,21 @@ def run_gold(spark: SparkSession, lay: Layout, runlog: RunLog) -> None:
 
 
 def run(spark: SparkSession, sf_dir: str, base: str, only: Sequence[str] | None = None) -> RunLog:
-    """Whole batch path; returns the stage records."""
+    """Whole batch path; returns the stage records and appends them to ``ops/pipeline_runs``
+    (also when a stage fails: the records up to the failure are kept)."""
     lay = Layout(base)
     runlog = RunLog()
-    with Stage("bronze_ingestion", runlog, camada="bronze") as st:
-        res = ingest(spark, analogue_sources(sf_dir), lay.path("bronze", ""), only=only)
-        st.linhas = sum(r.rows for r in res.values())
-    run_silver(spark, lay, runlog)
-    run_integration(spark, lay, runlog)
-    run_gold(spark, lay, runlog)
+    try:
+        with Stage("bronze_ingestion", runlog, camada="bronze") as st:
+            res = ingest(spark, analogue_sources(sf_dir), lay.path("bronze", ""), only=only)
+            st.linhas = sum(r.rows for r in res.values())
+        run_silver(spark, lay, runlog)
+        run_integration(spark, lay, runlog)
+        run_gold(spark, lay, runlog)
+    finally:
+        if runlog.records:
+            runs = runlog.to_df(spark).withColumn("registrado_em", F.current_timestamp())
+            runs.write.mode("append").parquet(lay.path("ops", "pipeline_runs"))
     return runlog
 
 

@@ -10,6 +10,8 @@ SF = "/root/testdata/sf0.001"
 def test_full_pipeline_matches_lazy_chain(spark, scratch):
     log = pipeline.run(spark, SF, scratch)
     assert [r["status"] for r in log.records] == ["sucesso"] * 13
+    runs = spark.read.parquet(f"{scratch}/ops/pipeline_runs")
+    assert runs.count() == 13 and runs.filter("status = 'sucesso'").count() == 13
     g = pipeline.gold_tables(spark, scratch)
     lazy = chain.gold_indicator(spark, SF)
     cols = lazy.columns
