@@ -19,6 +19,7 @@ from goalpost.plans import analogue, gold, integration, silver
 from goalpost.runs import RunLog, Stage
 from goalpost.sources.ingest import Source, ingest
 from goalpost.sources.layers import materialize, read_layer, write_layer
+from goalpost.sources.schemas import check_schema
 
 
 @dataclass(frozen=True)
@@ -76,7 +77,7 @@ def _gated_write(name: str, df: DataFrame, rules: Sequence[q.Rule] | DataFrame,
 
 
 def run_silver(spark: SparkSession, lay: Layout, runlog: RunLog) -> None:
-    rd = lambda n: read_layer(spark, lay.path("bronze", n))
+    rd = lambda n: check_schema(read_layer(spark, lay.path("bronze", n)), n)
     d, rules = silver.directory(rd("diretorio_municipio"))
     _gated_write("silver_diretorio_municipio", d, rules, lay.path("silver", "diretorio_municipio"), None, runlog, "silver")
     directory = read_layer(spark, lay.path("silver", "diretorio_municipio"))
