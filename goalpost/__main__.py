@@ -5,6 +5,7 @@
     python -m goalpost silver    --base ...
     python -m goalpost integrate --base ...
     python -m goalpost gold      --base ...
+    python -m goalpost analysis  --base ...
     python -m goalpost profile   --base ... [--layer silver] [table]
     python -m goalpost stream    --sf ... --base ... [--mode fail|quarantine]
 
@@ -30,7 +31,7 @@ def _session(local: str | None) -> SparkSession:
 
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="goalpost")
-    ap.add_argument("job", choices=["all", "ingest", "silver", "integrate", "gold", "profile", "stream"])
+    ap.add_argument("job", choices=["all", "ingest", "silver", "integrate", "gold", "analysis", "profile", "stream"])
     ap.add_argument("table", nargs="?", default="municipio")
     ap.add_argument("--sf", default="/root/testdata/sf0.1", help="folder of the source tables")
     ap.add_argument("--base", required=True, help="lake root (bronze/silver/gold below it)")
@@ -57,6 +58,12 @@ def main(argv: list[str] | None = None) -> int:
         pipeline.run_integration(spark, lay, log)
     elif a.job == "gold":
         pipeline.run_gold(spark, lay, log)
+    elif a.job == "analysis":
+        from goalpost.plans import analysis
+        from goalpost.sources.layers import read_layer
+        rs = lambda n: read_layer(spark, lay.path("silver", n))
+        out = analysis.run_all(rs("municipio"), rs("meta_municipio"), rs("alunos"))
+        print(json.dumps(out, ensure_ascii=False, default=str, indent=1))
     elif a.job == "profile":
         from goalpost.sources.layers import profile, read_layer
         counts, preview = profile(read_layer(spark, lay.path(a.layer, a.table)))

@@ -90,3 +90,22 @@ def denominator_check(b: DataFrame) -> DataFrame:
              .select("id_municipio", "nome", "sigla_uf", "ano", "taxa_oficial",
                      pct("n_alfab", "n_prova", 1).alias("taxa_sobre_prova"),
                      pct("n_alfab", "n_matric", 1).alias("taxa_sobre_matric")))
+
+
+def run_all(indicator: DataFrame, target: DataFrame, micro: DataFrame) -> dict[str, list]:
+    """The whole analysis as the reference runs it: one base, kept once (``MEMORY_AND_DISK``,
+    one row per territory-year), then the small reports collected from it."""
+    from pyspark import StorageLevel
+    b = base(indicator, target, micro).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        reports = {
+            "coverage": coverage(b),
+            "persistence": persistence(b).orderBy("anos_como_orfao"),
+            "participation": participation_pattern(b).orderBy("orfao"),
+            "bands": orphan_rate_by_band(b).orderBy("faixa"),
+            "counterexamples": counterexamples(b),
+            "denominator": denominator_check(b).orderBy("id_municipio", "ano").limit(8),
+        }
+        return {k: [r.asDict() for r in v.collect()] for k, v in reports.items()}
+    finally:
+        b.unpersist()

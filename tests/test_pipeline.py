@@ -12,6 +12,11 @@ def test_full_pipeline_matches_lazy_chain(spark, scratch):
     assert [r["status"] for r in log.records] == ["sucesso"] * 13
     runs = spark.read.parquet(f"{scratch}/ops/pipeline_runs")
     assert runs.count() == 13 and runs.filter("status = 'sucesso'").count() == 13
+    from goalpost.plans import analysis
+    rs = lambda n: spark.read.parquet(f"{scratch}/silver/{n}")
+    rep = analysis.run_all(rs("municipio"), rs("meta_municipio"), rs("alunos"))
+    lazy = analysis.coverage(chain.analysis_base(spark, SF)).first().asDict()
+    assert rep["coverage"] == [lazy] and len(rep["denominator"]) <= 8
     g = pipeline.gold_tables(spark, scratch)
     lazy = chain.gold_indicator(spark, SF)
     cols = lazy.columns
