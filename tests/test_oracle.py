@@ -35,3 +35,14 @@ def test_query_matches_oracle(spark, con, key):
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0 and "ranking_na_uf" in df.columns
+
+
+def test_output_types_are_the_oracle_families(spark):
+    """Integral outputs are bigint, floating outputs double (the contract with the SQL side)."""
+    allowed = {"bigint", "double", "string", "boolean"}
+    for key in ["gold_indicator_rank", "quality_report", "kpi_latest", "event_validate", "union_by_name",
+                "bronze_ingest", "run_metrics"]:
+        df = QUERIES[key](spark, SF)
+        bad = {f.name: f.dataType.simpleString() for f in df.schema.fields
+               if f.dataType.simpleString() not in allowed}
+        assert not bad, (key, bad)
