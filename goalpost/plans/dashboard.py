@@ -21,9 +21,17 @@ def latest_period(attainment: DataFrame, evolution: DataFrame, period: str = "an
         .agg(F.max("ano_max").alias("ano_max"), F.max("ano_min").alias("ano_min"))
 
 
-def at_latest(df: DataFrame, period: str = "ano") -> DataFrame:
-    """Rows of the latest period (one-row aggregate, broadcast: its size is 1 by construction)."""
-    return df.join(F.broadcast(df.agg(F.max(period).alias(period))), period)
+def latest_of(df: DataFrame, period: str = "ano") -> DataFrame:
+    """One-row table holding the latest period of ``df``."""
+    return df.agg(F.max(period).alias(period))
+
+
+def at_latest(df: DataFrame, period: str = "ano", latest: DataFrame | None = None) -> DataFrame:
+    """Rows of the latest period -- of ``df`` itself, or the one given by ``latest``
+    (the dashboard takes it from the attainment mart for every mart).  The
+    one-row table is broadcast: its size is 1 by construction."""
+    latest = latest_of(df, period) if latest is None else latest.select(period)
+    return df.join(F.broadcast(latest), period)
 
 
 def rank_latest(attainment: DataFrame) -> DataFrame:
@@ -47,9 +55,9 @@ def trend_direction(evolution: DataFrame, geo: str = "sigla_uf") -> DataFrame:
                      .orderBy(geo, "ano"))
 
 
-def topk_gap(indicator: DataFrame, n: int = 20) -> DataFrame:
+def topk_gap(indicator: DataFrame, n: int = 20, latest: DataFrame | None = None) -> DataFrame:
     """The ``n`` territories furthest from the target in the latest period (null gaps removed)."""
-    return (at_latest(indicator).dropna(subset=["gap_para_meta_2030"])
+    return (at_latest(indicator, latest=latest).dropna(subset=["gap_para_meta_2030"])
             .select("id_municipio", "nome", "sigla_uf", "ano", "gap_para_meta_2030")
             .orderBy(F.col("gap_para_meta_2030").desc(), F.col("id_municipio").asc())
             .limit(n))
@@ -66,7 +74,7 @@ def kpis(attainment: DataFrame, evolution: DataFrame, indicator: DataFrame) -> D
                    F.count_distinct("sigla_uf").alias("ufs"),
                    best.alias("melhor")),
         evolution.agg(rise.alias("maior_alta")),
-        at_latest(indicator).agg(F.count_distinct("id_municipio").alias("municipios")),
+        at_latest(indicator, latest=latest_of(attainment)).agg(F.count_distinct("id_municipio").alias("municipios")),
     ]
     k = union_by_name(parts).agg(*[F.max(c).alias(c) for c in
                                    ("ano", "ufs_atingiram", "ufs", "melhor", "maior_alta", "municipios")])

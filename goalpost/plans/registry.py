@@ -236,7 +236,9 @@ def trend_direction(spark, d):
 
 @query("topk_gap")
 def topk_gap(spark, d):
-    return dashboard.topk_gap(_gold_tables(spark, d, "gap"))
+    """C18 at the latest year of the attainment mart (as the dashboard takes it)."""
+    att, gap = _gold_tables(spark, d, "attainment", "gap")
+    return dashboard.topk_gap(gap, latest=dashboard.latest_of(att))
 
 
 @query("kpi_latest")

@@ -378,9 +378,9 @@ SELECT e.sigla_uf, e.ano, e.taxa_alfabetizacao, e.variacao_pp,
        CASE WHEN coalesce(l.v, 0) >= 0 THEN 'Subiu' ELSE 'Caiu' END AS tendencia
 FROM gold_evol e LEFT JOIN (SELECT sigla_uf, arg_max(variacao_pp, ano) FILTER (WHERE variacao_pp IS NOT NULL) AS v
                             FROM gold_evol GROUP BY sigla_uf) l ON e.sigla_uf = l.sigla_uf""")
-register("topk_gap", "gold_gap", """
+register("topk_gap", ["gold_gap", "gold_attain"], """
 SELECT id_municipio, nome, sigla_uf, ano, gap_para_meta_2030 FROM gold_gap
-WHERE ano = (SELECT max(ano) FROM gold_gap) AND gap_para_meta_2030 IS NOT NULL
+WHERE ano = (SELECT max(ano) FROM gold_attain) AND gap_para_meta_2030 IS NOT NULL
 ORDER BY gap_para_meta_2030 DESC, id_municipio LIMIT 20""")
 
 
@@ -398,7 +398,7 @@ k AS (SELECT (SELECT max(ano) FROM lat) AS ano, (SELECT count_if(atingimento_met
              (SELECT count(DISTINCT sigla_uf) FROM lat) AS ufs,
              (SELECT sigla_uf FROM best) AS melhor_uf, (SELECT taxa_alfabetizacao FROM best) AS melhor_taxa,
              (SELECT sigla_uf FROM rise) AS maior_alta_uf, (SELECT variacao_pp FROM rise) AS maior_alta_pp,
-             (SELECT count(DISTINCT id_municipio) FROM gold_gap WHERE ano = (SELECT max(ano) FROM gold_gap)) AS municipios)
+             (SELECT count(DISTINCT id_municipio) FROM gold_gap WHERE ano = (SELECT max(ano) FROM lat)) AS municipios)
 SELECT *, concat(CAST(ufs_atingiram AS VARCHAR), ' de ', CAST(ufs AS VARCHAR)) AS cartao_meta,
        {BR('melhor_taxa', 2)} AS cartao_melhor_taxa, {BR('maior_alta_pp', 2)} AS cartao_maior_alta,
        {BR('municipios', 0)} AS cartao_municipios

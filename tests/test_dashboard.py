@@ -34,3 +34,12 @@ def test_topk_gap_latest_year_only_and_null_gaps_dropped(spark):
     top = dashboard.topk_gap(gap, 5).collect()
     assert [r.id_municipio for r in top] == [6, 13, 20, 27, 5]          # gap desc, ties by key
     assert all(r.ano == 2024 for r in top)
+
+
+def test_municipal_marts_use_the_attainment_marts_latest_year(spark):
+    att = spark.createDataFrame([("AA", 2023, 90.0, 80.0, 112.5)], ATT)
+    evo = spark.createDataFrame([("AA", 2023, 90.0, None)], EVO)
+    gap = spark.createDataFrame([(1, "a", "AA", 2023, 5.0), (2, "b", "AA", 2024, 9.0), (3, "c", "AA", 2024, 8.0)], GAP)
+    top = dashboard.topk_gap(gap, 20, latest=dashboard.latest_of(att)).collect()
+    assert [(r.id_municipio, r.ano) for r in top] == [(1, 2023)]
+    assert dashboard.kpis(att, evo, gap).first().municipios == 1
