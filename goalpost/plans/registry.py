@@ -145,6 +145,20 @@ def quality_report(spark, d):
     return q.evaluate(analogue.dirty_micro(spark, d), _dirty_rules(spark, d))
 
 
+@query("silver_reports")
+def silver_reports(spark, d):
+    """Q8/Q9: every Silver table's own rule set (incl. the null-target exception), one action."""
+    geo = chain.silver_directory(spark, d)
+    loaders = {"meta_brasil": analogue.target_country, "meta_uf": analogue.target_coarse,
+               "meta_municipio": analogue.target_fine}
+    built = [("diretorio_municipio", silver.directory(analogue.directory(spark, d))),
+             ("uf", silver.indicator_coarse(analogue.indicator_coarse(spark, d))),
+             ("municipio", silver.indicator_fine(analogue.indicator_fine(spark, d), geo)),
+             *[(s.name, silver.targets(loaders[s.name](spark, d), s)) for s in silver.TARGETS],
+             ("alunos", silver.micro(analogue.micro(spark, d), geo))]
+    return union_by_name([q.evaluate(df, rules).withColumn("tabela", F.lit(name)) for name, (df, rules) in built])
+
+
 @query("orphan_keys")
 def orphan_keys(spark, d):
     """Orphan rows of documents vs labels, and of dirty micro vs the directory."""

@@ -461,3 +461,53 @@ SELECT 'bronze_diretorio' AS etapa, 'sucesso' AS status, count(*) AS linhas, '{"
 UNION ALL
 SELECT 'silver_diretorio_municipio', 'sucesso', count(*), '{"camada": "silver"}', CAST(NULL AS VARCHAR)
 FROM (SELECT DISTINCT * FROM directory) d""")
+
+
+# --- Q8/Q9: every Silver table's rule set ------------------------------------------------------
+def _nulls(t, cols):
+    return f"SELECT count_if({' OR '.join(c + ' IS NULL' for c in cols)}) FROM {t}"
+
+
+def _range(t, c, lo, hi):
+    return f"SELECT count_if({c} < {lo} OR {c} > {hi}) FROM {t}"
+
+
+def _target_rules(t, key, null_error):
+    return [(0, "null key", "error", _nulls(t, key)), (1, "duplicate key", "error", DUPS(t, ", ".join(key))),
+            (2, "rate outside 0-100", "error", _range(t, "taxa_alfabetizacao", 0, 100)),
+            (3, "2030 target outside 0-100", "error", _range(t, "meta_alfabetizacao_2030", 0, 100)),
+            (4, "rate missing at source", "warn", _nulls(t, ["taxa_alfabetizacao"])),
+            (5, "null 2030 target", "error" if null_error else "warn", _nulls(t, ["meta_alfabetizacao_2030"]))]
+
+
+_SR = {
+    "diretorio_municipio": [(0, "null key", "error", _nulls("s_dir", ["id_municipio"])),
+                            (1, "null required field", "error", _nulls("s_dir", ["nome", "sigla_uf"])),
+                            (2, "duplicate key", "error", DUPS("s_dir", "id_municipio"))],
+    "uf": [(0, "null key", "error", _nulls("s_uf", ["ano", "sigla_uf", "rede"])),
+           (1, "null required field", "error", _nulls("s_uf", ["serie", "taxa_alfabetizacao"])),
+           (2, "duplicate key", "error", DUPS("s_uf", "ano, sigla_uf, rede")),
+           (3, "rate outside 0-100", "error", _range("s_uf", "taxa_alfabetizacao", 0, 100))],
+    "municipio": [(0, "null key", "error", _nulls("s_mun", ["ano", "id_municipio", "rede"])),
+                  (1, "null required field", "error", _nulls("s_mun", ["serie", "taxa_alfabetizacao"])),
+                  (2, "duplicate key", "error", DUPS("s_mun", "ano, id_municipio, rede")),
+                  (3, "rate outside 0-100", "error", _range("s_mun", "taxa_alfabetizacao", 0, 100)),
+                  (4, "territory without parent", "error", _nulls("s_mun", ["sigla_uf"])),
+                  (5, "territory missing from directory", "error", ORPH("s_mun", "s_dir", ["id_municipio"]))],
+    "meta_brasil": _target_rules("s_mb", ["ano", "rede"], True),
+    "meta_uf": _target_rules("s_muf", ["ano", "rede", "sigla_uf"], False),
+    "meta_municipio": _target_rules("s_mm", ["ano", "rede", "id_municipio"], True),
+    "alunos": [(0, "null key", "error", _nulls("s_al", ["ano", "id_municipio", "id_aluno"])),
+               (1, "null required field", "error",
+                _nulls("s_al", ["serie", "rede", "presenca", "preenchimento_caderno", "alfabetizado"])),
+               (2, "duplicate key", "error", DUPS("s_al", "ano, id_aluno")),
+               (3, "literate flag invalid", "error", "SELECT count_if(NOT (alfabetizado IN ('0', '1'))) FROM s_al"),
+               (4, "territory missing from directory", "error", ORPH("s_al", "s_dir", ["id_municipio"]))],
+}
+register("silver_reports", ["directory", "silver_coarse", "silver_fine", "target_country", "target_coarse",
+                            "target_fine", "silver_micro"], """,
+s_dir AS (SELECT DISTINCT id_municipio, nome, sigla_uf, nome_uf, nome_regiao, capital_uf, amazonia_legal FROM directory),
+s_uf AS (SELECT * FROM silver_coarse), s_mun AS (SELECT * FROM silver_fine),
+s_mb AS (SELECT DISTINCT * FROM target_country), s_muf AS (SELECT DISTINCT * FROM target_coarse),
+s_mm AS (SELECT DISTINCT * FROM target_fine), s_al AS (SELECT * FROM silver_micro)
+""" + "\nUNION ALL ".join(REPORT(entries, f", '{name}' AS tabela") for name, entries in _SR.items()))
