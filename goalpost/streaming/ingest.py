@@ -1,7 +1,7 @@
 """Structured Streaming ingestion of validated events.
 
-``messages`` -> strict validation -> dedup by message id within the event-time
-watermark -> ``foreachBatch`` writing accepted rows (partition ``dt_ingestao``,
+``messages`` -> dedup by message id within the receive-time watermark -> strict
+validation -> ``foreachBatch`` writing accepted rows (partition ``dt_ingestao``,
 the processing date) and, in ``quarantine`` mode, rejected rows with their
 reason.  Each micro-batch writes to its own ``batch_id`` partition with
 dynamic overwrite, so a batch replayed after a failure replaces its own output
@@ -33,18 +33,28 @@ class IngestMetrics:
         return {k: sum(int(b.get(k, 0)) for b in self.batches) for k in keys}
 
 
-def prepare(messages: DataFrame, required: Sequence[str], event_time: str = "sent_ts",
-            watermark: str = "1 hour") -> DataFrame:
+def prepare(messages: DataFrame, required: Sequence[str], event_time: str | None = None,
+            watermark: str = "24 hours") -> DataFrame:
     """Dedup redelivered messages (same id) inside the watermark, then validate.
 
+    By default the watermark runs on the *receive* time (the micro-batch
+    timestamp), which only moves forward: no message is ever late, so none is
+    dropped, and a redelivery within ``watermark`` of the first copy is
+    collapsed -- the reference's idempotency is per ingestion date, i.e. on
+    processing time too.  An event-time column can be passed instead; then the
+    dedup window follows event time, and out-of-order sources risk having old
+    rows treated as late by the stateful operator.
+
     A message without an id gets a fresh one (as the reference falls back to
     the clock): it is kept, never merged with other id-less messages, and --
     as in the reference -- not idempotent.
     """
     messages = messages.withColumn("message_id", F.coalesce(F.col("message_id"), F.expr("uuid()")))
+    if event_time is None:
+        messages, event_time = messages.withColumn("__received", F.current_timestamp()), "__received"
     deduped = (messages.withWatermark(event_time, watermark)
                        .dropDuplicatesWithinWatermark(["message_id"]))
-    return validate(deduped, required)
+    return validate(deduped, required).drop("__received")
 
 
 def batch_writer(out: str, mode: str, metrics: IngestMetrics):
@@ -73,7 +83,7 @@ def batch_writer(out: str, mode: str, metrics: IngestMetrics):
 
 
 def run_ingest(messages: DataFrame, out: str, checkpoint: str, required: Sequence[str],
-               mode: str = "quarantine", event_time: str = "sent_ts", watermark: str = "1 hour",
+               mode: str = "quarantine", event_time: str | None = None, watermark: str = "24 hours",
                timeout_s: float | None = None) -> IngestMetrics:
     """Process everything available now (``availableNow``) and stop; restartable from ``checkpoint``."""
     if mode not in ("fail", "quarantine"):

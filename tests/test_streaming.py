@@ -133,3 +133,19 @@ def test_sample_is_exact_when_n_exceeds_rows(spark):
     from goalpost.operators.sampling import sample_exact
     df = spark.range(7).withColumn("k", F.col("id").cast("string"))
     assert sample_exact(df, 20, "k").count() == 7
+
+
+def test_out_of_order_batches_lose_nothing(spark, scratch):
+    """A later micro-batch with much older event times must not be dropped as late."""
+    from pyspark.sql import functions as F
+    body = '{"event_id":1,"user_id":2,"event_type":"x"}'
+    new = spark.createDataFrame([(str(i), body) for i in range(5)], "message_id string, body string") \
+        .withColumn("sent_ts", F.lit("2024-06-01 00:00:00").cast("timestamp"))
+    old = spark.createDataFrame([(str(i), body) for i in range(5, 10)], "message_id string, body string") \
+        .withColumn("sent_ts", F.lit("2020-01-01 00:00:00").cast("timestamp"))
+    new.coalesce(1).write.parquet(f"{scratch}/in/a")
+    old.coalesce(1).write.parquet(f"{scratch}/in/b")
+    stream = (spark.readStream.schema(new.schema).option("maxFilesPerTrigger", 1)
+              .option("recursiveFileLookup", "true").parquet(f"{scratch}/in"))
+    m = ing.run_ingest(stream, f"{scratch}/out", f"{scratch}/ck", src.REQUIRED)
+    assert m.totals()["gravados"] == 10 and len([b for b in m.batches if b["lidos"]]) == 2
