@@ -7,6 +7,7 @@ one-pass rule check, then the write that counts its rows by ``Observation``).
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -21,6 +22,8 @@ from goalpost.sources.ingest import Source, ingest
 from goalpost.sources.layers import materialize, read_layer, write_layer
 from goalpost.sources.schemas import check_schema
 
+log = logging.getLogger("goalpost.pipeline")
+
 
 @dataclass(frozen=True)
 class Layout:
@@ -70,12 +73,20 @@ def _gated_write(name: str, df: DataFrame, rules: Sequence[q.Rule] | DataFrame,
         try:
             report = rules if isinstance(rules, DataFrame) else q.evaluate(df, rules)
             q.gate(name, report)
-            st.linhas = write_layer(df, path, partition_by).rows
+            _record(st, write_layer(df, path, partition_by))
         finally:
             if reuse:
                 df.unpersist()
 
 
+def _record(st: Stage, res) -> None:
+    """Rows written, and -- never silently -- rows dropped for a null period."""
+    st.linhas = res.rows
+    if res.dropped_null_partition:
+        st.contexto["descartados_periodo_nulo"] = res.dropped_null_partition
+        log.warning("%s: %d rows with a null period not written", st.nome, res.dropped_null_partition)
+
+
 def run_silver(spark: SparkSession, lay: Layout, runlog: RunLog) -> None:
     rd = lambda n: check_schema(read_layer(spark, lay.path("bronze", n)), n)
     d, rules = silver.directory(rd("diretorio_municipio"))
@@ -103,11 +114,11 @@ def run_integration(spark: SparkSession, lay: Layout, runlog: RunLog) -> None:
 def run_gold(spark: SparkSession, lay: Layout, runlog: RunLog) -> None:
     rs = lambda n: read_layer(spark, lay.path("silver", n))
     with Stage("gold_indicador_municipio", runlog, camada="gold") as st:
-        st.linhas = write_layer(gold.indicator_rank(rs("municipio_integrado")),
-                                lay.path("gold", "indicador_municipio"), "ano").rows
+        _record(st, write_layer(gold.indicator_rank(rs("municipio_integrado")),
+                                   lay.path("gold", "indicador_municipio"), "ano"))
     with Stage("gold_metas_vs_resultados_uf", runlog, camada="gold") as st:
-        st.linhas = write_layer(gold.attainment(rs("uf_integrado")),
-                                lay.path("gold", "metas_vs_resultados_uf"), "ano").rows
+        _record(st, write_layer(gold.attainment(rs("uf_integrado")),
+                                   lay.path("gold", "metas_vs_resultados_uf"), "ano"))
     with Stage("gold_evolucao_uf", runlog, camada="gold") as st:
         st.linhas = write_layer(gold.evolution(rs("uf_integrado")), lay.path("gold", "evolucao_uf")).rows
 
