@@ -4,5 +4,5 @@ from goalpost.functions.codes import (  # noqa: F401
     ALFABETIZADO, CODEBOOKS, PREENCHIMENTO_CADERNO, PRESENCA, REDE, SERIE, decode, decode_all,
 )
 from goalpost.functions.numeric import (  # noqa: F401
-    band, br_number, finite_or_null, pct, round_half_up, safe_div, trend_label,
+    band, br_number, finite_or_null, pct, safe_div, trend_label,
 )

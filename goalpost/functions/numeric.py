@@ -17,11 +17,6 @@ def safe_div(num, den) -> Column:
     return F.try_divide(_c(num).cast("double"), _c(den).cast("double"))
 
 
-def round_half_up(x, scale: int) -> Column:
-    """Spark ``round``: half-up on the shortest decimal text of the double."""
-    return F.round(_c(x), scale)
-
-
 def pct(num, den, scale: int) -> Column:
     """``round(num / den * 100, scale)`` in that operation order; null on a zero denominator."""
     return F.round(safe_div(num, den) * F.lit(100), scale)
