@@ -115,12 +115,12 @@ def run_gold(spark: SparkSession, lay: Layout, runlog: RunLog) -> None:
     rs = lambda n: read_layer(spark, lay.path("silver", n))
     with Stage("gold_indicador_municipio", runlog, camada="gold") as st:
         _record(st, write_layer(gold.indicator_rank(rs("municipio_integrado")),
-                                   lay.path("gold", "indicador_municipio"), "ano"))
+                                lay.path("gold", "indicador_municipio"), "ano"))
     with Stage("gold_metas_vs_resultados_uf", runlog, camada="gold") as st:
         _record(st, write_layer(gold.attainment(rs("uf_integrado")),
-                                   lay.path("gold", "metas_vs_resultados_uf"), "ano"))
+                                lay.path("gold", "metas_vs_resultados_uf"), "ano"))
     with Stage("gold_evolucao_uf", runlog, camada="gold") as st:
-        st.linhas = write_layer(gold.evolution(rs("uf_integrado")), lay.path("gold", "evolucao_uf")).rows
+        _record(st, write_layer(gold.evolution(rs("uf_integrado")), lay.path("gold", "evolucao_uf")))
 
 
 def run(spark: SparkSession, sf_dir: str, base: str, only: Sequence[str] | None = None) -> RunLog:
