@@ -424,7 +424,7 @@ def stream_metrics(spark, d):
                       F.lit(t["quarentena"]).cast("bigint").alias("quarentena"), "no_destino")
 
 
-# --- sampling and run records (rows-only checks) ------------------------------------------
+# --- sampling and run records ----------------------------------------------------------------
 @query("sample_n")
 def sample_n(spark, d, n: int = 20, seed: int = 42):
     """Exactly ``min(n, rows)`` rows of the latest year, seeded, encoded as events
