@@ -91,7 +91,7 @@ class Model:
 def root_shares(slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct slots of a text and the square roots of their shares: length alone moves nothing."""
     found, n = np.unique(slot, return_counts=True)
-    return found, np.sqrt(n / max(1, len(slot)))
+    return found, np.sqrt(n / max(1, len(slot))).astype(np.float32)
 
 
 def margin_of(weight: np.ndarray, slot: np.ndarray) -> float:
@@ -100,7 +100,7 @@ def margin_of(weight: np.ndarray, slot: np.ndarray) -> float:
 
 
 def fit(docs: DataFrame, labels: DataFrame, usable=None, target: str = "quality", word_orders: tuple[int, ...] = (1, 2),
-        char_orders: tuple[int, ...] = (2, 3, 4), bits: int = 18, per_class: int = 1200, max_chars: int = 20_000,
+        char_orders: tuple[int, ...] = (2, 3, 4), bits: int = 18, per_class: int = 800, max_chars: int = 20_000,
         min_rows: int = 10, l2: float = 1e-4, steps: int = 100, seed: int = 5) -> Model:
     """``per_class`` and ``max_chars`` bound the sample of the fit; nothing bounds what is scored."""
     usable = F.lit(True) if usable is None else usable
@@ -123,23 +123,25 @@ def fit(docs: DataFrame, labels: DataFrame, usable=None, target: str = "quality"
 
 def _fit_roots(rows, y, size, min_rows, l2, steps):
     """Class-balanced logistic regression over the slots that ``min_rows`` texts hold (at least two)."""
-    count = np.bincount(np.concatenate([s for s, _ in rows]), minlength=size)
+    count = np.zeros(size, np.int32)
+    for s, _ in rows:
+        count[s] += 1
     used = np.flatnonzero(count >= max(2, min(min_rows, len(rows) // 10)))
-    at = np.full(size, -1)
+    at = np.full(size, -1, np.int32)
     at[used] = np.arange(len(used))
-    slot, value = np.concatenate([at[s] for s, _ in rows]), np.concatenate([10 * v for _, v in rows])
-    lens = np.array([(at[s] >= 0).sum() for s, _ in rows])
-    slot, value = slot[slot >= 0], value[slot >= 0]
+    rows = [(at[s][at[s] >= 0], 10 * v[at[s] >= 0]) for s, v in rows]
+    lens = np.array([len(s) for s, _ in rows])
+    slot, value = np.concatenate([s for s, _ in rows]), np.concatenate([v for _, v in rows])
     start = np.concatenate([[0], np.cumsum(lens)])
     weight = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum()))
-    w, b, m, v = np.zeros(len(used)), 0.0, np.zeros(len(used) + 1), np.zeros(len(used) + 1)
+    w, b, m, v = np.zeros(len(used), np.float32), 0.0, np.zeros(len(used) + 1), np.zeros(len(used) + 1)
     for t in range(1, steps + 1):
-        total = np.concatenate([[0.0], np.cumsum(w[slot] * value)])
+        total = np.concatenate([[0.0], np.cumsum(w[slot] * value, dtype=np.float64)])
         err = (linear.sigmoid(total[start[1:]] - total[start[:-1]] + b) - y) * weight
-        g = np.append(np.bincount(slot, weights=np.repeat(err, lens) * value, minlength=len(used)) + l2 * w, err.sum())
+        g = np.append(np.bincount(slot, weights=np.repeat(err.astype(np.float32), lens) * value, minlength=len(used)) + l2 * w, err.sum())
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         step = 0.03 * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.99 ** t)) + 1e-8)
-        w -= step[:-1]
+        w -= step[:-1].astype(np.float32)
         b -= step[-1]
     full = np.zeros(size)
     full[used] = 10 * w

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from goalpost.llm import byte_bpe, mixing, ngram_join, oracles, quality_rank, quality_rules, secrets, toxicity
+from goalpost.llm import (byte_bpe, mixing, ngram_join, oracles, quality_rank, quality_rules, quotations, secrets,
+                          spot_signatures, substring_dedup, toxicity)
 from goalpost.llm.common import read_table
 
 
@@ -27,6 +28,14 @@ def op3_quality_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rank.score(docs, quality_rank.fit(docs, read_table(spark, sf_dir, "labels")))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeats(read_table(spark, sf_dir, "documents"))
+
+
+def op5_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotations.order(read_table(spark, sf_dir, "conversations"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.fit(docs, read_table(spark, sf_dir, "labels")))
@@ -46,9 +55,13 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(docs, secrets.fit(docs))
 
 
+def op10_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spot_signatures.compare_next(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_ngram_jaccard_join, op2_byte_bpe, op3_quality_rank, op6_toxicity, op7_mixing, op8_quality_rules,
-    op9_secret_scan)}
+    op1_ngram_jaccard_join, op2_byte_bpe, op3_quality_rank, op4_substring_dedup, op5_quotation_linking,
+    op6_toxicity, op7_mixing, op8_quality_rules, op9_secret_scan, op10_spot_signatures)}
 
 ORACLE = {
     "op1_ngram_jaccard_join": oracles.OP1,

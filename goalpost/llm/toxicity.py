@@ -48,7 +48,7 @@ class Model:
 
 
 def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None, target: str = "toxic",
-        orders: tuple[int, ...] = (4, 5, 6), bits: int = 20, per_class: int = 2500, max_chars: int = 30_000,
+        orders: tuple[int, ...] = (4, 5, 6), bits: int = 20, per_class: int = 1500, max_chars: int = 20_000,
         max_features: int = 4_000, min_rows: int = 3, min_z: float = 4.0, l2: float = 1e-3, seed: int = 11) -> Model:
     """``per_class`` and ``max_chars`` bound the sample the driver fits on; nothing bounds what is scored.
 
@@ -65,19 +65,19 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None, target
     prior = np.where(y == 1, sizes[1] / (y == 1).sum(), sizes[0] / (y == 0).sum())
 
     def train(use: np.ndarray) -> tuple[np.ndarray, float]:
-        own = [sets[i] for i in np.flatnonzero(use)]
-        rows, label = linear.Rows.of(own), y[use]
-        size = 1 << bits
-        pos, neg = rows.spread((label == 1) * 1.0, size), rows.spread((label == 0) * 1.0, size)
+        label, size = y[use], 1 << bits
+        neg, pos = np.zeros((2, size), np.float32)
+        for i in np.flatnonzero(use):
+            (pos if y[i] else neg)[sets[i]] += 1
         n1, n0 = (label == 1).sum() + 2, (label == 0).sum() + 2
         ratio = np.log((pos + 1) / n1) - np.log((neg + 1) / n0)
         z = np.abs(ratio) / np.sqrt(1 / (pos + 1) + 1 / (neg + 1))
         z[pos + neg < min_rows] = 0
         keep = np.argsort(-z, kind="stable")[:max_features]
         keep = keep[: max(int((z[keep] >= min_z).sum()), min(200, int((z[keep] > 0).sum())))]
-        at = np.full(size, -1, np.int64)
+        at = np.full(size, -1, np.int32)
         at[keep] = np.arange(len(keep))
-        small = linear.Rows.of([a[a >= 0] for a in (at[s] for s in own)])
+        small = linear.Rows.of([a[a >= 0] for a in (at[sets[i]] for i in np.flatnonzero(use))])
         w, b = linear.fit_logistic(small, label, len(keep), l2, scale=ratio[keep], weight=prior[use])
         full = np.zeros(size, np.float32)
         full[keep] = w
@@ -89,7 +89,7 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None, target
         held = part == k
         if len(set(y[~held].tolist())) == 2:
             full, b = train(~held)
-            margin[held] = linear.Rows.of([sets[i] for i in np.flatnonzero(held)]).sums(full) + b
+            margin[held] = [full[sets[i]].sum(dtype=np.float64) + b for i in np.flatnonzero(held)]
     a, _ = linear.fit_platt(margin, y, prior)
     full, b = train(np.ones(len(y), bool))
     return Model(orders, bits, full, float(b), float(a), float(-a * best_cut(margin, y, prior)))
