@@ -60,3 +60,8 @@ def slices(texts: pa.Array, max_chars: int = 1 << 20) -> Iterator[tuple[int, lis
             start, held, size = i + 1, [], 0
     if held:
         yield start, held
+
+
+def broadcast_if_small(df: DataFrame, rows: int = 200_000) -> DataFrame:
+    """``df`` (a written, narrow table) marked for broadcast if it has at most ``rows`` rows; else joined by shuffle."""
+    return F.broadcast(df) if df.count() <= rows else df

@@ -8,7 +8,7 @@ A document's tokens are its distinct word n-grams (64-bit hashes).  Two sets lin
    they hold the same tokens in some other group: the digest of each group is a routing key and only documents that
    share one meet.  Groups without tokens route nothing: K leaves E groups to spare, and the rare sets with more than E
    empty groups also route by the tokens of their prefix under a fixed order, which linked sets must share.
-2. The counts of 64 coarser groups are the set's point.  The summed coordinate minima of two points bound their overlap.
+2. The counts of 256 groups are the set's point.  The summed coordinate minima of two points bound their overlap.
    Every routing key first proposes one link from each member to its busiest member; proposals whose bound reaches the
    needed overlap are verified on the whole sets and give components.
 3. Where a key still holds several components, an R-tree over its members' points (boxes of coordinate maxima, joined
@@ -33,10 +33,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from goalpost.llm.common import id_text, saved, slices
+from goalpost.llm.common import broadcast_if_small, id_text, saved, slices
 from goalpost.llm.components import connected
 
-GROUPS = 64             # coordinates of a point
+GROUPS = 256            # coordinates of a point
+FEW = 64                # members up to which a routing key's member list is compared with the other keys' lists
 BLOCK = 4096            # members of a routing key that one task compares with one other such block
 LEAF, FANOUT = 32, 8
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -105,10 +106,15 @@ def routing_keys(tokens: np.ndarray, percent: int, classes: list[tuple[int, int,
     return np.concatenate(keys) if keys else np.empty(0, np.uint64)
 
 
+def node_of(tokens: bytes) -> int:
+    """64-bit digest of a whole token set: its node (two different sets of a billion share one with chance 3 %)."""
+    return int.from_bytes(hashlib.blake2b(tokens, digest_size=8).digest(), "little", signed=True)
+
+
 def _features(docs: DataFrame, percent: int, width: int) -> DataFrame:
     """doc_id, n, node (digest of the token set), point, and the routing keys unless the task has sent that set's."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sent: set[bytes] = set()
+        sent: set[int] = set()
         classes = size_classes(percent, 1)
         for batch in batches:
             for start, texts in slices(batch.column(1), 1 << 22):
@@ -117,7 +123,7 @@ def _features(docs: DataFrame, percent: int, width: int) -> DataFrame:
                     tokens = shingles(t, width)
                     if classes[-1][0] * percent < len(tokens) * 100:
                         classes = size_classes(percent, len(tokens) * 100 // percent + 1)
-                    digest = hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
+                    digest = node_of(tokens.tobytes())
                     size.append(len(tokens))
                     node.append(digest)
                     if digest in sent:
@@ -126,15 +132,15 @@ def _features(docs: DataFrame, percent: int, width: int) -> DataFrame:
                         continue
                     if len(sent) < 1_000_000:       # only spares shuffled rows
                         sent.add(digest)
-                    point.append(np.bincount((mix(tokens) >> np.uint64(58)).astype(np.int64),
+                    point.append(np.bincount((mix(tokens) >> np.uint64(56)).astype(np.int64),
                                              minlength=GROUPS).astype(np.int32))
                     keys.append(routing_keys(tokens, percent, classes).view(np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(start, len(texts)).cast(pa.int64()), pa.array(size, pa.int64()),
-                     pa.array(node, pa.binary()), pa.array(point, pa.list_(pa.int32())),
+                     pa.array(node, pa.int64()), pa.array(point, pa.list_(pa.int32())),
                      pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "n", "node", "point", "keys"])
 
-    return id_text(docs).mapInArrow(run, "doc_id long, n long, node binary, point array<int>, keys array<long>")
+    return id_text(docs).mapInArrow(run, "doc_id long, n long, node long, point array<int>, keys array<long>")
 
 
 def bound(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -195,21 +201,18 @@ def _verified(docs: DataFrame, first: DataFrame, pairs: DataFrame, percent: int,
     """The pairs (a, b) of nodes whose whole sets link."""
     pairs = saved(pairs, f"{name}-pairs")
     nodes = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct()
-    involved = first.join(nodes, "node", "left_semi").select("doc_id").distinct()
+    involved = saved(first.join(nodes, "node", "left_semi").select("doc_id").distinct(), f"{name}-involved")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, texts in slices(batch.column(1)):
                 tokens = [shingles(t, width).tobytes() for t in texts]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([hashlib.blake2b(t, digest_size=16).digest() for t in tokens], pa.binary()),
-                     pa.array(tokens, pa.binary())], ["node", "tokens"])
-
-    texts = id_text(docs).join(involved, "doc_id", "left_semi").select("doc_id", "text")
-    found = saved(texts.mapInArrow(sets, "node binary, tokens binary"), f"{name}-sets")
-    held = nodes.join(found, "node").groupBy("node").agg(F.min("tokens").alias("tokens"))
-    held = saved(held, f"{name}-held")
+                    [pa.array([node_of(t) for t in tokens], pa.int64()), pa.array(tokens, pa.binary())], ["node", "tokens"])
 
+    texts = id_text(docs).join(broadcast_if_small(involved), "doc_id", "left_semi").select("doc_id", "text")
+    # one text a node, but for ids that several rows have; their other sets find no pair here
+    found = saved(texts.mapInArrow(sets, "node long, tokens binary"), f"{name}-sets")
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
@@ -219,10 +222,10 @@ def _verified(docs: DataFrame, first: DataFrame, pairs: DataFrame, percent: int,
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    both = (pairs.join(held.select(F.col("node").alias("a"), F.col("tokens").alias("x")), "a")
-                 .join(held.select(F.col("node").alias("b"), F.col("tokens").alias("y")), "b")
+    both = (pairs.join(found.select(F.col("node").alias("a"), F.col("tokens").alias("x")), "a")
+                 .join(found.select(F.col("node").alias("b"), F.col("tokens").alias("y")), "b")
                  .select("a", "b", "x", "y"))
-    return saved(both.mapInArrow(check, "a binary, b binary"), f"{name}-links")
+    return saved(both.mapInArrow(check, "a long, b long").distinct(), f"{name}-links")
 
 
 def _bounded(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
@@ -244,7 +247,7 @@ def _tree_pairs(members: DataFrame, percent: int) -> DataFrame:
              .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
                      "own", "node", "n", "point", "root"))
 
-    def pairs_of(rows: pa.Table) -> set[tuple[bytes, bytes]]:
+    def pairs_of(rows: pa.Table) -> set[tuple[int, int]]:
         """Proposals of the rows of one (key, i, j)."""
         label = pd.factorize(rows["root"].to_pandas())[0]
         points = rows["point"].combine_chunks().flatten().to_numpy().reshape(-1, GROUPS)
@@ -273,16 +276,16 @@ def _tree_pairs(members: DataFrame, percent: int) -> DataFrame:
             at = [rows[k].to_numpy() for k in ("key", "i", "j")]
             cut = np.flatnonzero(np.any([a[1:] != a[:-1] for a in at], axis=0)) + 1
             edges = [0, *cut.tolist(), *([rows.num_rows] if batch is None else [])]
-            got: set[tuple[bytes, bytes]] = set()
+            got: set[tuple[int, int]] = set()
             for a, b in pairwise(edges):
                 got |= pairs_of(rows.slice(a, b - a))
             held = rows.slice(edges[-1]) if batch is not None else None
             if got:
                 x, y = zip(*got, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()), pa.array(y, pa.binary())], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], ["a", "b"])
 
     return (dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-                 .mapInArrow(run, "a binary, b binary").distinct())
+                 .mapInArrow(run, "a long, b long").distinct())
 
 
 def link(docs: DataFrame, percent: int = 85, width: int = 4) -> DataFrame:
@@ -325,13 +328,19 @@ def link(docs: DataFrame, percent: int = 85, width: int = 4) -> DataFrame:
 
 
 def _shared_keys(named: DataFrame) -> DataFrame:
-    """(key, node, cnt): the routing keys that two or more sets hold."""
+    """(key, node, cnt): the members of the routing keys that two or more sets hold.
+
+    Sets that are alike share many keys, so keys with the same few members are taken as one, named by its members."""
     n = named.select(F.explode("keys").alias("key"), "node")
     per_key = Window.partitionBy("key")
-    held = (n.withColumn("lo", F.min("node").over(per_key)).withColumn("hi", F.max("node").over(per_key))
-             .where("lo != hi").select("key", "node").distinct()
-             .withColumn("cnt", F.count(F.lit(1)).over(per_key)))
-    return saved(held, "ngram-members")
+    held = saved(n.withColumn("lo", F.min("node").over(per_key)).withColumn("hi", F.max("node").over(per_key))
+                  .where("lo != hi").select("key", "node").distinct()
+                  .withColumn("cnt", F.count(F.lit(1)).over(per_key)), "ngram-held")
+    few = (held.where(F.col("cnt") <= FEW).groupBy("key").agg(F.array_sort(F.collect_list("node")).alias("nodes"))
+               .select("nodes").distinct()
+               .select(F.xxhash64("nodes").alias("key"), F.explode("nodes").alias("node"),
+                       F.size("nodes").cast("long").alias("cnt")))
+    return saved(few.unionAll(held.where(F.col("cnt") > FEW)), "ngram-members")
 
 
 def _same_id(named: DataFrame) -> DataFrame:
@@ -343,9 +352,15 @@ def _same_id(named: DataFrame) -> DataFrame:
 def drop_copies(docs: DataFrame, percent: int = 85, width: int = 4) -> DataFrame:
     """One row of each component stays: the one with its smallest doc_id (every row without an id stays).
 
-    Rows that repeat the kept id with the same text are one document and all but one of them go."""
-    keep = link(docs, percent, width).where("doc_id = component_id").select(
-        F.col("doc_id").alias("__kept")).distinct()
-    columns = docs.columns
-    kept = docs.join(keep, docs["doc_id"] == keep["__kept"], "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where(F.col("doc_id").isNull())).select(*columns)
+    Rows that repeat the kept id are one document, of which one row stays."""
+    linked = saved(link(docs, percent, width).select("doc_id", "component_id"), "ngram-linked")
+    gone = saved(linked.where("doc_id != component_id").select(F.col("doc_id").alias("gone_id")).distinct(),
+                 "ngram-gone")
+    kept = docs.join(broadcast_if_small(gone), docs["doc_id"] == gone["gone_id"], "left_anti")
+    twice = saved(linked.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("twice_id"))
+                        .agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("twice_id"), "ngram-twice")
+    if twice.isEmpty():
+        return kept
+    repeated = docs["doc_id"] == twice["twice_id"]
+    return (kept.join(twice, repeated, "left_anti")
+                .unionByName(kept.join(twice, repeated, "left_semi").dropDuplicates(["doc_id"])))
