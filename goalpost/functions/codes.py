@@ -1,6 +1,6 @@
 """Official code books and the ``decode`` expression.
 
-Codes are strings at the source, so keys are strings here too.
+A code book maps the text of a code to its description.
 """
 
 from __future__ import annotations
@@ -35,9 +35,6 @@ CODEBOOKS: dict[str, Mapping[str, str]] = {
     "alfabetizado": ALFABETIZADO,
 }
 
-# Above this many codes a literal map lookup beats a CASE chain.
-_CASE_LIMIT = 16
-
 
 def decode(column: str | Column, mapping: Mapping[str, str], default: str | None = None) -> Column:
     """Code -> description; unknown and null codes give ``default``.
@@ -48,9 +45,6 @@ def decode(column: str | Column, mapping: Mapping[str, str], default: str | None
     fallback = F.lit(default).cast("string")
     if not mapping:
         return fallback
-    if len(mapping) > _CASE_LIMIT:
-        lookup = F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv])
-        return F.coalesce(F.try_element_at(lookup, c.cast("string")), fallback)
     expr = None
     for code, text in mapping.items():
         expr = (F.when(c == code, F.lit(text)) if expr is None

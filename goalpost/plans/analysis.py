@@ -22,11 +22,10 @@ BAND_LABELS = ("1: <60%", "2: 60-70%", "3: 70-80%", "4: 80-90%", "5: >=90%")
 # ---------------------------------------------------------------------------
 
 
-def exact_avg(x: str, decimals: int) -> Column:
-    """Mean of a column whose values have at most ``decimals`` decimals, summed exactly."""
-    scale = 10 ** decimals
-    scaled = F.round(F.col(x) * F.lit(scale)).cast("bigint")
-    return F.try_divide(F.sum(scaled).cast("double"), F.count(x).cast("double")) / F.lit(float(scale))
+def exact_avg(x: str) -> Column:
+    """Mean of the unrounded values, summed as decimals so that the order of the sum changes nothing."""
+    total = F.sum(F.col(x).cast("decimal(38,18)")).cast("double")
+    return F.try_divide(total, F.count(x).cast("double"))
 
 
 def base(indicator: DataFrame, target: DataFrame, micro: DataFrame, network: str = REDE_MUNICIPAL) -> DataFrame:
@@ -60,9 +59,9 @@ def persistence(b: DataFrame) -> DataFrame:
 def participation_pattern(b: DataFrame) -> DataFrame:
     """Mean / approximate median participation and mean official rate by orphan flag."""
     return b.groupBy("orfao").agg(
-        F.round(exact_avg("participacao", 1), 1).alias("media_pct"),
+        F.round(exact_avg("participacao"), 1).alias("media_pct"),
         F.percentile_approx("participacao", 0.5).alias("mediana_pct"),
-        F.round(exact_avg("taxa_oficial", 2), 1).alias("media_taxa_oficial"))
+        F.round(exact_avg("taxa_oficial"), 1).alias("media_taxa_oficial"))
 
 
 def orphan_rate_by_band(b: DataFrame) -> DataFrame:

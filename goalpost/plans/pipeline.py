@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from goalpost.operators import quality as q
 from goalpost.plans import analogue, gold, integration, silver
-from goalpost.runs import RunLog, Stage
-from goalpost.sources.ingest import Source, ingest
+from goalpost.runs import RunLog, Stage, StageState
+from goalpost.sources.ingest import Source, ingest, select_sources
 from goalpost.sources.layers import materialize, read_layer, write_layer
 from goalpost.sources.schemas import check_schema
 
@@ -79,7 +79,7 @@ def _gated_write(name: str, df: DataFrame, rules: Sequence[q.Rule] | DataFrame,
                 df.unpersist()
 
 
-def _record(st: Stage, res) -> None:
+def _record(st: StageState, res) -> None:
     """Rows written, and -- never silently -- rows dropped for a null period."""
     st.linhas = res.rows
     if res.dropped_null_partition:
@@ -123,15 +123,24 @@ def run_gold(spark: SparkSession, lay: Layout, runlog: RunLog) -> None:
         _record(st, write_layer(gold.evolution(rs("uf_integrado")), lay.path("gold", "evolucao_uf")))
 
 
-def run(spark: SparkSession, sf_dir: str, base: str, only: Sequence[str] | None = None) -> RunLog:
-    """Whole batch path; returns the stage records and appends them to ``ops/pipeline_runs``
-    (also when a stage fails: the records up to the failure are kept)."""
+def run(spark: SparkSession, sources: str | Sequence[Source], base: str, only: Sequence[str] | None = None) -> RunLog:
+    """Whole batch path over any registry of sources (a folder of test tables stands for its seven).
+
+    With ``only``, the named sources are ingested and nothing after Bronze runs; without a match nothing runs.
+    Returns the stage records and appends them to ``ops/pipeline_runs`` (also when a stage fails: the records up to
+    the failure are kept)."""
     lay = Layout(base)
+    if isinstance(sources, str):
+        sources = analogue_sources(sources)
+    if only and not select_sources(sources, only):
+        return RunLog()
     runlog = RunLog()
     try:
         with Stage("bronze_ingestion", runlog, camada="bronze") as st:
-            res = ingest(spark, analogue_sources(sf_dir), lay.path("bronze", ""), only=only)
+            res = ingest(spark, sources, lay.path("bronze", ""), only=only)
             st.linhas = sum(r.rows for r in res.values())
+        if only:
+            return runlog
         run_silver(spark, lay, runlog)
         run_integration(spark, lay, runlog)
         run_gold(spark, lay, runlog)

@@ -308,7 +308,7 @@ def bronze_reingest(spark, d):
     base = _bronze(spark, d, [Source("alunos", lambda s: analogue.micro(s, d), "ano")])
     again = Source("alunos", lambda s: analogue.micro(s, d).filter(F.col("ano") == 1998)
                    .withColumn("peso_aluno", F.lit(2.0)), "ano")
-    ingest(spark, [again], base, dynamic=True)
+    ingest(spark, [again], base)
     return read_layer(spark, f"{base}/alunos")
 
 

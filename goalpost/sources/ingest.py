@@ -35,8 +35,11 @@ def select_sources(sources: Sequence[Source], only: Sequence[str] | None) -> lis
     return chosen
 
 
-def ingest_source(spark: SparkSession, source: Source, base: str, dynamic: bool = False) -> WriteResult:
-    """Full read of one source, written per period (null periods dropped and counted)."""
+def ingest_source(spark: SparkSession, source: Source, base: str, dynamic: bool = True) -> WriteResult:
+    """Full read of one source, written per period (null periods dropped and counted).
+
+    Only the periods that the source holds are replaced; ``dynamic=False`` replaces the whole table.
+    """
     df = source.loader(spark)
     path = f"{base.rstrip('/')}/{source.name}"
     result = write_layer(df, path, source.partition, dynamic=dynamic and source.partition is not None)
@@ -47,7 +50,7 @@ def ingest_source(spark: SparkSession, source: Source, base: str, dynamic: bool
 
 
 def ingest(spark: SparkSession, sources: Sequence[Source], base: str,
-           only: Sequence[str] | None = None, dynamic: bool = False) -> dict[str, WriteResult]:
+           only: Sequence[str] | None = None, dynamic: bool = True) -> dict[str, WriteResult]:
     """Sources in order; the first failure is re-raised, earlier outputs stay written."""
     done: dict[str, WriteResult] = {}
     for s in select_sources(sources, only):

@@ -20,6 +20,10 @@ from pyspark.sql import functions as F
 from goalpost.streaming.events import validate
 
 
+#: Working column: when the micro-batch was received.
+RECEIVED = "__received"
+
+
 class RejectedEvent(ValueError):
     """A batch held an invalid event and the stream runs in ``fail`` mode."""
 
@@ -50,17 +54,18 @@ def prepare(messages: DataFrame, required: Sequence[str], event_time: str | None
     as in the reference -- not idempotent.
     """
     messages = messages.withColumn("message_id", F.coalesce(F.col("message_id"), F.expr("uuid()")))
-    if event_time is None:
-        messages, event_time = messages.withColumn("__received", F.current_timestamp()), "__received"
+    # the micro-batch's own timestamp: a replayed batch gets the same one
+    messages = messages.withColumn(RECEIVED, F.current_timestamp())
+    event_time = event_time or RECEIVED
     deduped = (messages.withWatermark(event_time, watermark)
                        .dropDuplicatesWithinWatermark(["message_id"]))
-    return validate(deduped, required).drop("__received")
+    return validate(deduped, required)
 
 
 def batch_writer(out: str, mode: str, metrics: IngestMetrics):
     """The ``foreachBatch`` function: split, count (one aggregate), write both sides."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.withColumn("dt_ingestao", F.current_date()).withColumn("batch_id", F.lit(batch_id))
+        batch = batch.withColumn("dt_ingestao", F.to_date(RECEIVED)).withColumn("batch_id", F.lit(batch_id))
         batch.persist()
         try:
             c = batch.agg(F.count(F.lit(1)).alias("lidos"),
@@ -95,10 +100,12 @@ def run_ingest(messages: DataFrame, out: str, checkpoint: str, required: Sequenc
          .trigger(availableNow=True)
          .start())
     try:
-        q.awaitTermination(timeout_s)
+        ended = q.awaitTermination(timeout_s) if timeout_s is not None else q.awaitTermination() is None
     finally:
         if q.isActive:
             q.stop()
+    if not ended:
+        raise TimeoutError(f"stream not done after {timeout_s} s; it goes on from its checkpoint")
     if q.exception() is not None:
         raise q.exception()
     return metrics

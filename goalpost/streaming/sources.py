@@ -56,8 +56,8 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def message_stream(spark: SparkSession, sf_dir: str, max_files: int = 100) -> DataFrame:
     """The same messages as a file stream over the events table (``max_files`` bounds a micro-batch)."""
-    events = (spark.readStream.schema(EVENTS_SCHEMA).option("pathGlobFilter", "events.parquet")
-                   .option("maxFilesPerTrigger", max_files).parquet(sf_dir))
+    events = (spark.readStream.schema(EVENTS_SCHEMA).option("maxFilesPerTrigger", max_files)
+                   .parquet(f"{sf_dir}/{{events.parquet}}"))   # a glob: matches one file and a folder of files alike
     return messages_from(events)
 
 

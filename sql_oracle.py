@@ -332,10 +332,10 @@ _BANDS = ("CASE WHEN participacao < 60 THEN '1: <60%' WHEN participacao < 70 THE
           "WHEN participacao < 80 THEN '3: 70-80%' WHEN participacao < 90 THEN '4: 80-90%' ELSE '5: >=90%' END")
 
 
-def XAVG(x: str, dec: int) -> str:
-    sc = 10 ** dec
-    return (f"CAST(sum(CAST(round({x} * {sc}) AS BIGINT)) AS DOUBLE) / NULLIF(CAST(count({x}) AS DOUBLE), 0)"
-            f" / {float(sc)}::DOUBLE")
+def XAVG(x: str) -> str:
+    """Mean of the unrounded values, summed as decimals of their shortest text."""
+    return (f"CAST(sum(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,18))) AS DOUBLE)"
+            f" / NULLIF(CAST(count({x}) AS DOUBLE), 0)")
 
 
 register("missing_target_base", "an_base", "SELECT * FROM an_base")
@@ -349,8 +349,8 @@ SELECT anos_como_orfao, count(*) AS count
 FROM (SELECT id_municipio, count(*) AS anos_como_orfao FROM an_base WHERE orfao GROUP BY id_municipio) x
 GROUP BY anos_como_orfao""")
 register("participation_pattern", "an_base", f"""
-SELECT orfao, {R(XAVG('participacao', 1), 1)} AS media_pct, quantile_disc(participacao, 0.5) AS mediana_pct,
-       {R(XAVG('taxa_oficial', 2), 1)} AS media_taxa_oficial
+SELECT orfao, {R(XAVG('participacao'), 1)} AS media_pct, quantile_disc(participacao, 0.5) AS mediana_pct,
+       {R(XAVG('taxa_oficial'), 1)} AS media_taxa_oficial
 FROM an_base GROUP BY orfao""")
 register("orphan_rate_by_band", "an_base", f"""
 SELECT faixa, count(*) AS total, CAST(sum(CAST(orfao AS INTEGER)) AS BIGINT) AS orfaos,

@@ -13,7 +13,20 @@ def test_decode_known_unknown_null_and_type(spark):
     assert df.select(decode("rede", REDE).alias("d")).schema["d"].dataType.simpleString() == "string"
 
 
-def test_decode_large_mapping_uses_map_lookup(spark):
+def test_decode_of_numeric_codes_is_the_same_at_every_size(spark):
+    df = spark.createDataFrame([(1.0,), (2.5,), (None,)], "c double")
+    for n in (10, 20):
+        book = {str(i): f"v{i}" for i in range(n)}
+        assert [r.d for r in df.select(decode("c", book).alias("d")).collect()] == ["v1", None, None]
+
+
+def test_exact_avg_does_not_round_its_input(spark):
+    from goalpost.plans.analysis import exact_avg
+    df = spark.createDataFrame([(10.0451,), (10.0451,), (None,)], "x double")
+    assert df.agg(F.round(exact_avg("x"), 1).alias("m")).first().m == 10.0
+
+
+def test_decode_large_mapping(spark):
     book = {str(i): f"code {i}" for i in range(40)}
     df = spark.createDataFrame([("7",), ("99",), (None,)], "c string")
     assert [r.d for r in df.select(decode("c", book, "x").alias("d")).collect()] == ["code 7", "x", "x"]

@@ -44,3 +44,16 @@ def test_gate_blocks_the_write(spark, scratch):
     import os
     assert not os.path.exists(f"{scratch}/silver_alunos")
     assert log.records[-1]["status"] == "erro"
+
+
+def test_own_sources_only_and_reingest_keeps_other_periods(spark, scratch):
+    from goalpost.sources.ingest import Source
+    rows = lambda *r: (lambda s: s.createDataFrame(list(r), "ano int, x string"))
+    own = lambda *r: [Source("mine", rows(*r), "ano"), Source("other", rows((1, "o")), None)]
+    pipeline.run(spark, own((2023, "a"), (2024, "b")), scratch, only=["mine"])
+    log = pipeline.run(spark, own((2024, "c")), scratch, only=["mine", "unknown"])
+    assert [r["etapa"] for r in log.records] == ["bronze_ingestion"]
+    got = spark.read.parquet(f"{scratch}/bronze/mine").collect()
+    assert sorted((r.ano, r.x) for r in got) == [(2023, "a"), (2024, "c")]
+    assert pipeline.run(spark, own((2024, "d")), scratch, only=["unknown"]).records == []
+    assert spark.read.parquet(f"{scratch}/bronze/mine").count() == 2

@@ -149,3 +149,19 @@ def test_out_of_order_batches_lose_nothing(spark, scratch):
               .option("recursiveFileLookup", "true").parquet(f"{scratch}/in"))
     m = ing.run_ingest(stream, f"{scratch}/out", f"{scratch}/ck", src.REQUIRED)
     assert m.totals()["gravados"] == 10 and len([b for b in m.batches if b["lidos"]]) == 2
+
+
+def test_stream_reads_a_folder_of_part_files(spark, scratch):
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    events.repartition(4).write.parquet(f"{scratch}/in/events.parquet")
+    m = ing.run_ingest(src.message_stream(spark, f"{scratch}/in"), f"{scratch}/out", f"{scratch}/ck", src.REQUIRED)
+    assert m.totals()["lidos"] == events.count()
+
+
+def test_replayed_batch_keeps_its_date(spark, scratch):
+    batch = spark.sql("SELECT '1' AS message_id, '{}' AS body, true AS valido, CAST(null AS string) AS motivo, "
+                      "timestamp'2024-01-31 23:59:59' AS __received")
+    for _ in range(2):
+        ing.batch_writer(f"{scratch}/out", "quarantine", ing.IngestMetrics())(batch, 7)
+    got = spark.read.parquet(f"{scratch}/out/accepted").collect()
+    assert [(r.message_id, str(r.dt_ingestao)) for r in got] == [("1", "2024-01-31")]
