@@ -29,7 +29,7 @@ def op3_quality_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup.repeats(read_table(spark, sf_dir, "documents"))
+    return substring_dedup.repeats(read_table(spark, sf_dir, "documents"), within=True)
 
 
 def op5_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,8 +8,9 @@ across documents; neighbouring chunks of one document that other documents hold
 smallest (doc_id, place) is the first and is kept; ``remove`` cuts the others out of the texts.
 
 Defined results: null and empty texts have no chunk; equal rows repeat each other wholly; a null id sorts first and is
-never the kept one of a passage that a row with an id holds too; passages only repeated inside one row are not
-reported; an empty table gives an empty result; extra columns are kept by ``remove`` and ignored by ``repeats``.
+never the kept one of a passage that a row with an id holds too; passages only repeated inside one row are reported
+with ``within`` (the query and ``remove`` ask for them); an empty table gives an empty result; extra columns are kept by
+``remove`` and ignored by ``repeats``.
 """
 
 from __future__ import annotations
@@ -103,16 +104,18 @@ def chunks(docs: DataFrame) -> DataFrame:
     return tagged.mapInArrow(run, "doc_id long, row long, seq int, start int, end int, d1 long, d2 long")
 
 
-def repeats(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """doc_id, start, end, n_chars, first_doc_id, first_start, first of every occurrence of a repeated passage."""
+def repeats(docs: DataFrame, min_chars: int = MIN_CHARS, within: bool = False) -> DataFrame:
+    """doc_id, start, end, n_chars, first_doc_id, first_start, first of every occurrence of a repeated passage.
+
+    ``within`` also counts passages whose occurrences all lie in one row."""
     held = saved(chunks(docs), "chunks")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "start")
-    shared = (held.groupBy("d1", "d2").agg(F.min("row").alias("lo"), F.max("row").alias("hi"),
-                                           F.min(place).alias("at"))
-                  .where("lo != hi").select("d1", "d2", "at"))
+    shared = (held.groupBy("d1", "d2").agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("lo"),
+                                           F.max("row").alias("hi"), F.min(place).alias("at"))
+                  .where("n > 1" if within else "lo != hi").select("d1", "d2", "at"))
     marked = held.join(shared, ["d1", "d2"]).select("doc_id", "row", "seq", "start", "end", "at")
     # the rows of one text, in order: adjacent chunks, equally first or not, are one passage
-    own = F.col("row") == F.col("at.row")
+    own = (F.col("row") == F.col("at.row")) & (F.col("start") == F.col("at.start"))
     by_text = Window.partitionBy("row").orderBy("seq")
     runs = (marked.withColumn("first", own)
                   .withColumn("new", F.when((F.col("seq") == F.lag("seq").over(by_text) + 1)
@@ -128,7 +131,7 @@ def repeats(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
 
 def remove(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """``docs`` with every later occurrence of a repeated passage cut out; ids must be unique where not null."""
-    spans = (repeats(docs, min_chars).where(~F.col("first") & F.col("doc_id").isNotNull())
+    spans = (repeats(docs, min_chars, within=True).where(~F.col("first") & F.col("doc_id").isNotNull())
              .groupBy(F.col("doc_id").alias("cut_id"))
              .agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("cut_spans")))
     # pieces between the spans: from the end of one to the start of the next

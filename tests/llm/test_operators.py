@@ -249,6 +249,24 @@ def test_substring_dedup(spark, awkward, empty):
     assert substring_dedup.rolling(a).tolist() == want
 
 
+def spelled(rng, n, size=6):
+    return " ".join("".join(chr(97 + c) for c in rng.integers(0, 26, size)) for _ in range(n))
+
+
+def test_substring_dedup_counts_occurrences_inside_one_document(spark):
+    rng = np.random.default_rng(5)
+    passage = spelled(rng, 60)
+    inside = " ".join(f"{spelled(rng, 20)} {passage}" for _ in range(5))
+    for rows in ([(1, inside)], [(1, inside), (2, f"{spelled(rng, 40)} {passage}")]):
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        got = [r for r in substring_dedup.repeats(df, within=True).collect() if r.n_chars >= 200]
+        assert sum(r.first for r in got) == 1 and len(got) == 5 + len(rows) - 1
+        assert next(r.doc_id for r in got if r.first) == 1
+        cut = {r.doc_id: r.text for r in substring_dedup.remove(df).collect()}
+        middle = passage[180:240]
+        assert sum(t.count(middle) for t in cut.values()) == 1 and cut[1].count(middle) == 1
+
+
 def test_quotations(spark):
     rows = [(1, 0, "u", "Hello there\nhow are you"), (1, 1, "a", "> how are you\nfine"),
             (1, 2, "u", "> > how are you\n> fine\ngood"), (1, 3, "a", "> Hello   there\nlate"), (1, 4, "u", "next"),
