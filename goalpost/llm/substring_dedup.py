@@ -114,12 +114,14 @@ def repeats(docs: DataFrame, min_chars: int = MIN_CHARS, within: bool = False) -
                                            F.max("row").alias("hi"), F.min(place).alias("at"))
                   .where("n > 1" if within else "lo != hi").select("d1", "d2", "at"))
     marked = held.join(shared, ["d1", "d2"]).select("doc_id", "row", "seq", "start", "end", "at")
-    # the rows of one text, in order: adjacent chunks, equally first or not, are one passage
+    # the rows of one text, in order: adjacent chunks whose first occurrences are adjacent too are one passage
     own = (F.col("row") == F.col("at.row")) & (F.col("start") == F.col("at.start"))
     by_text = Window.partitionBy("row").orderBy("seq")
-    runs = (marked.withColumn("first", own)
+    shift = F.col("start") - F.col("at.start")
+    runs = (marked.withColumn("first", own).withColumn("shift", shift)
                   .withColumn("new", F.when((F.col("seq") == F.lag("seq").over(by_text) + 1)
-                                            & (F.col("first") == F.lag("first").over(by_text)), 0).otherwise(1))
+                                            & (F.col("at.row") == F.lag("at.row").over(by_text))
+                                            & (F.col("shift") == F.lag("shift").over(by_text)), 0).otherwise(1))
                   .withColumn("passage", F.sum("new").over(by_text)))
     return (runs.groupBy("row", "passage")
                 .agg(F.min("doc_id").alias("doc_id"), F.min("start").alias("start"), F.max("end").alias("end"),

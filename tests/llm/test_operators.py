@@ -267,6 +267,20 @@ def test_substring_dedup_counts_occurrences_inside_one_document(spark):
         assert sum(t.count(middle) for t in cut.values()) == 1 and cut[1].count(middle) == 1
 
 
+def test_substring_dedup_names_the_origin_of_copies_of_copies(spark):
+    rng = np.random.default_rng(6)
+    licence = spelled(rng, 80)
+    twenty = f"{spelled(rng, 60)} {licence} {spelled(rng, 60)}"
+    led = f"{licence} {spelled(rng, 60)}"
+    rows = [(1, f"{licence} {spelled(rng, 50)}"), (20, twenty), (30, twenty), (40, led), (50, led)]
+    text = dict(rows)
+    got = substring_dedup.repeats(spark.createDataFrame(rows, "doc_id long, text string"), within=True).collect()
+    for r in got:
+        assert text[r.doc_id][r.start:r.end] == text[r.first_doc_id][r.first_start:r.first_start + r.n_chars]
+    origins = {i: {r.first_doc_id for r in got if r.doc_id == i and not r.first} for i in text}
+    assert origins == {1: set(), 20: {1}, 30: {1, 20}, 40: {1}, 50: {1, 40}}
+
+
 def test_quotations(spark):
     rows = [(1, 0, "u", "Hello there\nhow are you"), (1, 1, "a", "> how are you\nfine"),
             (1, 2, "u", "> > how are you\n> fine\ngood"), (1, 3, "a", "> Hello   there\nlate"), (1, 4, "u", "next"),
