@@ -112,21 +112,23 @@ def node_of(tokens: bytes) -> int:
 
 
 def _features(docs: DataFrame, percent: int, width: int) -> DataFrame:
-    """doc_id, n, node (digest of the token set), point, and the routing keys unless the task has sent that set's."""
+    """doc_id, n, node (digest of the token set), point, and the routing keys of the first row with an id that a task has of
+    a set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[int] = set()
         classes = size_classes(percent, 1)
         for batch in batches:
+            named = batch.column(0).is_valid().to_pylist()
             for start, texts in slices(batch.column(1), 1 << 22):
                 size, node, point, keys = [], [], [], []
-                for t in texts:
+                for t, has_id in zip(texts, named[start:], strict=False):
                     tokens = shingles(t, width)
                     if classes[-1][0] * percent < len(tokens) * 100:
                         classes = size_classes(percent, len(tokens) * 100 // percent + 1)
                     digest = node_of(tokens.tobytes())
                     size.append(len(tokens))
                     node.append(digest)
-                    if digest in sent:
+                    if not has_id or digest in sent:        # a row without an id links with nothing
                         point.append(None)
                         keys.append(None)
                         continue

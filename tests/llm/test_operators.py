@@ -99,6 +99,12 @@ def test_join_awkward_rows(awkward, empty):
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 0, 1, 2, 3, 4, 5, 8]
 
 
+def test_join_null_id_row_before_its_copies(spark):
+    rows = [(None, NEAR), (1, NEAR), (2, NEAR + " tail")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert {r.doc_id: r.component_id for r in ngram_join.link(df).collect()} == {None: None, 1: 1, 2: 1}
+
+
 def test_tree_blocks_cover_every_pair():
     rng = np.random.default_rng(0)
     points = rng.poisson(2, (300, 8)).astype(np.int32)
