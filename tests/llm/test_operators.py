@@ -287,6 +287,25 @@ def test_substring_dedup_names_the_origin_of_copies_of_copies(spark):
     assert origins == {1: set(), 20: {1}, 30: {1, 20}, 40: {1}, 50: {1, 40}}
 
 
+def test_substring_dedup_finds_short_passages_to_their_exact_ends(spark):
+    rng = np.random.default_rng(7)
+    passages = [" ".join("".join(chr(97 + c) for c in rng.integers(0, 26, int(rng.integers(3, 8)))) for _ in range(51))
+                for _ in range(400)]
+    rows, at = [], {}
+    for i, p in enumerate(passages):
+        for doc_id in (i, 1000 + i):
+            lead = spelled(rng, 30)[:int(rng.integers(1, 200))].upper() + "."
+            at[doc_id] = (len(lead), len(lead) + len(p))
+            rows.append((doc_id, f"{lead}{p}.{spelled(rng, 20).upper()}"))
+    text = dict(rows)
+    got = substring_dedup.repeats(spark.createDataFrame(rows, "doc_id long, text string"), within=True).collect()
+    for r in got:
+        assert text[r.doc_id][r.start:r.end] == text[r.first_doc_id][r.first_start:r.first_start + r.n_chars]
+    whole = {r.doc_id for r in got if r.start <= at[r.doc_id][0] and r.end >= at[r.doc_id][1]}
+    print("recall", len(whole), len(rows))
+    assert len(whole) >= 0.99 * len(rows)
+
+
 def test_quotations(spark):
     rows = [(1, 0, "u", "Hello there\nhow are you"), (1, 1, "a", "> how are you\nfine"),
             (1, 2, "u", "> > how are you\n> fine\ngood"), (1, 3, "a", "> Hello   there\nlate"), (1, 4, "u", "next"),
