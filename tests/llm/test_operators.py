@@ -255,6 +255,12 @@ def test_substring_dedup(spark, awkward, empty):
     assert substring_dedup.rolling(a).tolist() == want
 
 
+def test_secret_threshold_has_no_floor(docs, monkeypatch):
+    monkeypatch.setattr(secrets.linear, "fit_platt", lambda *_: (1.0, -30.0))
+    model = secrets.fit(docs)
+    assert model.network is not None and model.threshold < 0.5 and model.recall >= 0.99
+
+
 def spelled(rng, n, size=6):
     return " ".join("".join(chr(97 + c) for c in rng.integers(0, 26, size)) for _ in range(n))
 
