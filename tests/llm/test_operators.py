@@ -261,6 +261,13 @@ def test_secret_threshold_has_no_floor(docs, monkeypatch):
     assert model.network is not None and model.threshold < 0.5 and model.recall >= 0.99
 
 
+def test_secret_network_learns_from_rare_findings(spark):
+    key = F.concat(F.lit("token = "), F.substring(F.sha2(F.col("id").cast("string"), 256), 1, 36))
+    text = F.when(F.col("id") % 20_000 == 7, key).otherwise(F.concat(F.lit("internationalisation-"), F.col("id") % 500))
+    df = spark.range(400_000).select(F.col("id").alias("doc_id"), text.alias("text"))
+    assert secrets.fit(df).network is not None
+
+
 def spelled(rng, n, size=6):
     return " ".join("".join(chr(97 + c) for c in rng.integers(0, 26, size)) for _ in range(n))
 
