@@ -255,9 +255,9 @@ def test_substring_dedup(spark, awkward, empty):
     assert substring_dedup.rolling(a).tolist() == want
 
 
-def test_secret_threshold_has_no_floor(docs, monkeypatch):
+def test_secret_threshold_has_no_floor(spark, monkeypatch):
     monkeypatch.setattr(secrets.linear, "fit_platt", lambda *_: (1.0, -30.0))
-    model = secrets.fit(docs)
+    model = secrets.fit(spark.read.parquet(f"{SF_MID}/documents.parquet"))
     assert model.network is not None and model.threshold < 0.5 and model.recall >= 0.99
 
 
@@ -268,6 +268,16 @@ def test_secret_network_learns_from_rare_findings(spark):
     assert secrets.fit(df).network is not None
 
 
+def test_secret_inside_a_long_run(spark):
+    model = secrets.fit(spark.read.parquet(f"{SF_MID}/documents.parquet"))
+    print("held-back recall", model.recall, "false positives", model.false_positives, "threshold", model.threshold)
+    path = "some/words/of/the/house/and/" * 3
+    run = f"{path}KEY=Q7xY2pL9vR4tZ8kM3nB6wC1dF5gH0jSa/{path}"
+    assert len(run) > 200 and secrets.base_spans(run) == []
+    assert model.probability([secrets.window(run, 0, len(run))])[0] < model.threshold      # head and tail show no key
+    assert model.spans([f"see {run} here"])[0] == [("network", 4, 4 + len(run))]
+
+
 def spelled(rng, n, size=6):
     return " ".join("".join(chr(97 + c) for c in rng.integers(0, 26, size)) for _ in range(n))
 
