@@ -64,3 +64,32 @@ SELECT d.doc_id, d.source, d.lang, d.topic, d.n_tokens, round(least(1.0, r.ratio
   d.u < round(least(1.0, r.ratio * s{steps}.c), 6) AS sampled
 FROM rows_ d JOIN r ON d.source IS NOT DISTINCT FROM r.source AND d.lang IS NOT DISTINCT FROM r.lang
   AND d.topic = r.topic, s{steps}""")
+
+
+_VECTORS = """SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
+
+OP12 = f"""
+WITH v AS ({_VECTORS}),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS BIGINT) AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+OP13 = f"""
+WITH v AS (SELECT vec_id, e, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label
+  FROM ({_VECTORS}) WHERE label IS NOT NULL),
+s AS (SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, CAST(list_dot_product(a.e, c.e) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place
+  FROM s WHERE same) WHERE place <= 5),
+n AS (SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score,
+    s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id) AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+    AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score)
+SELECT anchor_id, positive_id, CAST(rank AS BIGINT) AS rank, negative_id, positive_score, negative_score
+FROM n WHERE rank <= 5
+"""
