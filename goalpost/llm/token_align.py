@@ -34,7 +34,7 @@ from goalpost.llm.byte_bpe import WORD_PATTERN, byte_characters, code_point_kind
 from goalpost.llm.common import id_text, saved, slices
 
 #: Most pairs of the broadcast table (24 bytes each), and the distinct matches a worker remembers.
-HEAD, REMEMBERED, LONGEST = 1 << 20, 500_000, 60
+HEAD, REMEMBERED, LONGEST = 1 << 20, 150_000, 24
 
 
 class ByteLevel:
@@ -50,9 +50,11 @@ class ByteLevel:
             self.tokens[t["id"]] = t["content"].encode()
         for t, i in spec["model"]["vocab"].items():
             self.tokens[i] = bytes(table[c] for c in t)
+        # every byte has a token and nothing changes the text before: tokens spell any text
+        self.exact = spec.get("normalizer") is None and len({t for t in self.tokens if len(t) == 1}) == 256
 
     def __getstate__(self):
-        return {"path": self.path, "pattern": self.pattern, "tokens": self.tokens, "_known": {}}
+        return {"path": self.path, "pattern": self.pattern, "tokens": self.tokens, "exact": self.exact, "_known": {}}
 
     def ready(self) -> ByteLevel:
         if not hasattr(self, "_model"):
@@ -117,7 +119,7 @@ def _by_match(split: list[list[str]], known: dict[str, bytes], encode) -> list[n
     """Ids of the matches of each text; ``known`` remembers a bounded number of short ones."""
     if len(known) > REMEMBERED:
         known.clear()
-    new = list({m for matches in split for m in matches if m not in known})
+    new = list(set().union(*split).difference(known))
     found = {}
     for at in range(0, len(new), 4096):
         part = new[at:at + 4096]
@@ -197,7 +199,8 @@ class Aligner:
         out = []
         for t, (a, b) in zip(texts, both, strict=True):
             spelled = (" " + t).encode("utf-8", "surrogatepass")
-            out.append((a, b) if t and spell(a, self.a) == spelled == spell(b, self.b) else none)
+            same = t and (self.a.exact or spell(a, self.a) == spelled) and spell(b, self.b) == spelled
+            out.append((a, b) if same else none)
         return out
 
     def align(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
