@@ -7,9 +7,13 @@ plan that yields one small report row per rule:
   expressions computed in the same aggregation;
 * each duplicate rule groups by its key once (partial aggregation collapses
   hot keys map-side) -- surplus rows = ``sum(n) - number of groups``;
-* each orphan rule first counts fact rows per key, then anti-joins the
-  *distinct* key counts with the distinct reference keys, so a hot key is a
-  single row by the time it reaches the join.
+* an orphan rule whose reference keys are proven few becomes a row rule too:
+  the distinct keys are broadcast and every row gets a flag before the
+  grouping, so nulls, range, domain, duplicates and orphans of a table cost
+  one scan and one exchange;
+* beyond that bound an orphan rule first counts fact rows per key, then
+  anti-joins the *distinct* key counts with the distinct reference keys, so a
+  hot key is a single row by the time it reaches the join.
 
 The per-part one-row aggregates are combined with ``unionByName`` + ``sum``,
 so the whole rule set costs one action that returns ``len(rules)`` rows.
@@ -26,6 +30,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
+from goalpost.operators.joins import DEFAULT_BROADCAST_ROWS, has_at_most
 
 log = logging.getLogger("goalpost.quality")
 
@@ -108,14 +113,29 @@ def _alias(i: int) -> str:
     return f"__r{i}"
 
 
-def evaluate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+def _reference(rule: Rule) -> DataFrame:
+    """The distinct reference keys of an orphan rule, under the names of the checked columns."""
+    return rule.reference.select(*[F.col(rc).alias(c) for rc, c in zip(rule.reference_columns, rule.columns)]).distinct()
+
+
+def evaluate(df: DataFrame, rules: Sequence[Rule], max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """One-plan report: ``position, rule, severity, violations (bigint), failed (bool)``."""
     if not rules:
         raise ValueError("empty rule set")
     row_rules = [(i, r) for i, r in enumerate(rules) if r.kind in ("nulls", "range", "domain", "predicate")]
     dup_rules = [(i, r) for i, r in enumerate(rules) if r.kind == "duplicates"]
-    orphan_rules = [(i, r) for i, r in enumerate(rules) if r.kind == "orphans"]
-    row_counts = [F.count_if(violation(r)).alias(_alias(i)) for i, r in row_rules]
+    orphan_rules, flags = [], []
+    for i, r in enumerate(rules):
+        if r.kind != "orphans":
+            continue
+        ref = _reference(r).withColumn(f"__has{i}", F.lit(True))
+        if has_at_most(ref, max_broadcast_rows):
+            df = df.join(F.broadcast(ref), list(r.columns), "left")
+            flags.append(F.count_if(F.col(f"__has{i}").isNull()).alias(_alias(i)))
+            row_rules.append((i, r))
+        else:
+            orphan_rules.append((i, r))
+    row_counts = [F.count_if(violation(r)).alias(_alias(i)) for i, r in row_rules if r.kind != "orphans"] + flags
 
     parts: list[DataFrame] = []
     if dup_rules:
@@ -133,7 +153,7 @@ def evaluate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
     for i, r in orphan_rules:
         per_key = df.groupBy(*r.columns).agg(F.count(F.lit(1)).alias("__n"))
-        ref = r.reference.select(*[F.col(rc).alias(c) for rc, c in zip(r.reference_columns, r.columns)]).distinct()
+        ref = _reference(r)
         # both sides are distinct keys by now: Spark's size threshold / AQE pick the join
         missing = per_key.join(ref, list(r.columns), "left_anti")
         parts.append(missing.agg(F.sum("__n").alias(_alias(i))))
@@ -150,22 +170,21 @@ def evaluate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 
 def summary(rows: Sequence[Row]) -> str:
-    return " | ".join(f"{r.rule}: {r.violations}" for r in rows)
+    """Violated rules with their counts, then how many rules held."""
+    broken = [f"{r.violations} x {r.rule}" for r in rows if r.violations]
+    return "; ".join([*broken, f"{len(rows) - len(broken)} of {len(rows)} rules hold"])
 
 
 def gate(table: str, report: DataFrame | Sequence[Row]) -> list[Row]:
     """Collect the (small) report, log it, raise ``QualityError`` naming all failing error rules."""
-    rows = report.collect() if isinstance(report, DataFrame) else list(report)
-    rows = sorted(rows, key=lambda r: r.position)
-    errors = [r for r in rows if r.severity == ERROR]
-    warns = [r for r in rows if r.severity != ERROR]
-    if errors:
-        log.info("quality [%s] %s", table, summary(errors))
-    if warns:
-        log.warning("warning [%s] %s", table, summary(warns))
-    failed = {r.rule: r.violations for r in errors if r.violations > 0}
-    if failed:
-        raise QualityError(f"quality check failed for {table}: {failed}")
+    rows = sorted(report.collect() if isinstance(report, DataFrame) else report, key=lambda r: r.position)
+    for severity, level in ((ERROR, logging.INFO), (WARN, logging.WARNING)):
+        of = [r for r in rows if r.severity == severity]
+        if of:
+            log.log(level, "%s (%s): %s", table, severity, summary(of))
+    broken = [r for r in rows if r.severity == ERROR and r.violations > 0]
+    if broken:
+        raise QualityError(f"{table} was not written. {summary(broken)}")
     return rows
 
 

@@ -31,19 +31,9 @@ MIN_PARTICIPATION = 70.0      # targets exist only for cells at >= 70 % particip
 # ----------------------------------------------------------------------------
 
 
-_TABLES: dict[str, tuple[SparkSession, DataFrame]] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The shared input table; one DataFrame per session and path (listing and
-    footer read once, and identical scans let Spark reuse exchanges).  A
-    DataFrame is reused only for the very same live session object."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    cached = _TABLES.get(path)
-    if cached is None or cached[0] is not spark or spark.sparkContext._jsc is None:
-        cached = (spark, spark.read.parquet(path))
-        _TABLES[path] = cached
-    return cached[1]
+    """The shared input table, listed anew on each use."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _micro_columns() -> list:
@@ -177,5 +167,6 @@ def dirty_micro(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("__ok") % 107 == 0, F.lit("X")).otherwise(F.col("alfabetizado")).alias("alfabetizado"),
         F.when(F.col("__ok") % 103 == 0, F.lit(1500.0)).otherwise(F.col("proficiencia")).alias("proficiencia"),
         "peso_aluno", "__ok")
-    repeated = m.filter(F.col("__ok") % 101 == 0)
-    return m.unionByName(repeated).drop("__ok")
+    # repeated in place: the input is scanned once
+    copies = F.when(F.col("__ok") % 101 == 0, F.lit(2)).otherwise(F.lit(1))
+    return m.withColumn("__copy", F.explode(F.sequence(F.lit(1), copies))).drop("__ok", "__copy")

@@ -30,12 +30,19 @@ def exact_avg(x: str) -> Column:
 
 def base(indicator: DataFrame, target: DataFrame, micro: DataFrame, network: str = REDE_MUNICIPAL) -> DataFrame:
     """Indicator + ``orfao`` (no target for that territory-year) + micro counts + participation."""
+    return base_from_rollup(indicator, target, micro_rollup(micro.filter(F.col("rede") == F.lit(network)),
+                                                            ["id_municipio", "ano", "rede"]), network)
+
+
+def base_from_rollup(indicator: DataFrame, target: DataFrame, rollup: DataFrame,
+                     network: str = REDE_MUNICIPAL) -> DataFrame:
+    """C10 over a (territory, period, network) rollup of the micro table, e.g. the stored one (``plans.rollups``)."""
     ind = (indicator.filter(F.col("rede") == F.lit(network))
                     .select("id_municipio", "nome", "sigla_uf", "ano",
                             F.col("taxa_alfabetizacao").alias("taxa_oficial")))
     ind = existence_flag(ind, target, ["id_municipio", "ano"], "orfao")
-    counts = micro_rollup(micro.filter(F.col("rede") == F.lit(network)), ["id_municipio", "ano"]) \
-        .drop("soma_proficiencia")
+    counts = (rollup.filter(F.col("rede") == F.lit(network))
+                    .select("id_municipio", "ano", "n_matric", "n_prova", "n_alfab"))
     return (ind.join(counts, ["id_municipio", "ano"], "left")
                .withColumn("participacao", pct("n_prova", "n_matric", 1)))
 

@@ -15,12 +15,14 @@ from pyspark.sql import types as T
 from goalpost.functions.codes import CODEBOOKS, REDE_MUNICIPAL, decode_all
 from goalpost.operators import quality as q
 from goalpost.operators.aggregate import dedup_full, micro_rollup
-from goalpost.operators.joins import lookup
-from goalpost.plans import analogue, analysis, chain, dashboard, integration, silver
+from goalpost.operators.joins import lookup, salted_lookup
+from goalpost.plans import analogue, analysis, chain, dashboard, integration, rollups, silver
 from goalpost.plans import gold as _gold
 from goalpost.session import fresh_path
+from goalpost.sources import files
 from goalpost.sources.ingest import Source, ingest
-from goalpost.sources.layers import profile, read_layer, union_by_name, write_layer
+from goalpost.sources.layers import (materialize, profile, publish_layer, read_files, read_layer, union_by_name,
+                                     write_layer)
 from goalpost.streaming import events as _ev
 from goalpost.streaming import ingest as _ing
 from goalpost.streaming import sources as _src
@@ -79,6 +81,14 @@ def enrich_directory(spark, d):
     return lookup(m, geo, "id_municipio", "left")
 
 
+@query("lookup_salted")
+def lookup_salted(spark, d):
+    """J1 beyond the broadcast bound: hot keys from a frequent-items sketch are salted, null keys spread."""
+    geo = chain.silver_directory(spark, d).select("id_municipio", "nome", "sigla_uf")
+    m = analogue.dirty_micro(spark, d).select("id_aluno", "ano", "id_municipio")
+    return salted_lookup(m, geo, "id_municipio")
+
+
 @query("integrate_targets")
 def integrate_targets(spark, d):
     return chain.integrated_fine(spark, d)
@@ -94,6 +104,12 @@ def integration_consistency(spark, d):
     return integration.integrate_fine(chain.silver_fine(spark, d), chain.silver_target_fine(spark, d))[1]
 
 
+@query("integration_consistency_coarse")
+def integration_consistency_coarse(spark, d):
+    """Q10 for the coarse level."""
+    return integration.integrate_coarse(chain.silver_coarse(spark, d), chain.silver_target_coarse(spark, d))[1]
+
+
 # --- aggregations ------------------------------------------------------------
 @query("micro_rollup")
 def micro_rollup_q(spark, d):
@@ -134,6 +150,12 @@ def _one_rule(kind: str):
 
 
 QUERIES["rule_nulls"] = _one_rule("nulls")
+@query("rule_nulls_all")
+def rule_nulls_all(spark, d):
+    """Q1: every null rule of the set, warnings too."""
+    return q.evaluate(analogue.dirty_micro(spark, d), [r for r in _dirty_rules(spark, d) if r.kind == "nulls"])
+
+
 QUERIES["rule_duplicates"] = _one_rule("duplicates")
 QUERIES["rule_range"] = _one_rule("range")
 QUERIES["rule_domain"] = _one_rule("domain")
@@ -147,14 +169,15 @@ def quality_report(spark, d):
 
 @query("silver_reports")
 def silver_reports(spark, d):
-    """Q8/Q9: every Silver table's own rule set (incl. the null-target exception), one action."""
+    """Q8/Q9: every Silver table's own rule set (incl. the null-target exception), one action over one written rollup."""
+    roll = materialize(analogue.fine_rollup(spark, d), "fine-rollup")
     geo = chain.silver_directory(spark, d)
     loaders = {"meta_brasil": analogue.target_country, "meta_uf": analogue.target_coarse,
                "meta_municipio": analogue.target_fine}
     built = [("diretorio_municipio", silver.directory(analogue.directory(spark, d))),
-             ("uf", silver.indicator_coarse(analogue.indicator_coarse(spark, d))),
-             ("municipio", silver.indicator_fine(analogue.indicator_fine(spark, d), geo)),
-             *[(s.name, silver.targets(loaders[s.name](spark, d), s)) for s in silver.TARGETS],
+             ("uf", silver.indicator_coarse(analogue.indicator_coarse(spark, d, roll))),
+             ("municipio", silver.indicator_fine(analogue.indicator_fine(spark, d, roll), geo)),
+             *[(s.name, silver.targets(loaders[s.name](spark, d, roll), s)) for s in silver.TARGETS],
              ("alunos", silver.micro(analogue.micro(spark, d), geo))]
     return union_by_name([q.evaluate(df, rules).withColumn("tabela", F.lit(name)) for name, (df, rules) in built])
 
@@ -178,10 +201,11 @@ QUERIES["silver_indicator_coarse"] = chain.silver_coarse
 
 @query("silver_targets")
 def silver_targets(spark, d):
-    """C4: the three target tables, each cleaned, stacked with their name."""
+    """C4: the three target tables, each cleaned, stacked with their name; the micro table is rolled up once."""
+    roll = materialize(analogue.fine_rollup(spark, d), "fine-rollup")
     loaders = {"meta_brasil": analogue.target_country, "meta_uf": analogue.target_coarse,
                "meta_municipio": analogue.target_fine}
-    frames = [silver.targets(loaders[s.name](spark, d), s)[0].withColumn("tabela", F.lit(s.name))
+    frames = [silver.targets(loaders[s.name](spark, d, roll), s)[0].withColumn("tabela", F.lit(s.name))
               for s in silver.TARGETS]
     return union_by_name(frames)
 
@@ -191,6 +215,20 @@ def silver_micro(spark, d):
     return chain.silver_micro(spark, d)
 
 
+@query("silver_publish")
+def silver_publish(spark, d):
+    """A version is published, the next fails its gate, and readers still get the first, whole."""
+    path, geo = fresh_path(spark, "silver-alunos"), chain.silver_directory(spark, d)
+    refused = False
+    for source in (analogue.micro(spark, d), analogue.dirty_micro(spark, d)):
+        df, rules = silver.micro(source, geo)
+        try:
+            publish_layer(df, path, "ano", lambda rows, rules=rules: q.check("silver_alunos", rows, rules))
+        except q.QualityError:
+            refused = True
+    return read_layer(spark, path).withColumn("recusada", F.lit(refused))
+
+
 # --- Gold ------------------------------------------------------------------------
 QUERIES["gold_indicator_rank"] = chain.gold_indicator
 QUERIES["gold_attainment"] = chain.gold_attainment
@@ -210,12 +248,24 @@ for _name, _fn in {
     QUERIES[_name] = (lambda fn: lambda spark, d: fn(chain.analysis_base(spark, d)))(_fn)
 
 
+@query("missing_target_incremental")
+def missing_target_incremental(spark, d):
+    """C10 on the stored rollup: one year is ingested again (its untested students gone) and only that year rolled up."""
+    base, store = fresh_path(spark, "bronze"), fresh_path(spark, "rollup")
+    source = lambda keep: Source("alunos", lambda s: analogue.micro(s, d).where(keep), "ano")
+    ingest(spark, [source(F.lit(True))], base)
+    rollups.refresh(spark, read_layer(spark, f"{base}/alunos"), store)
+    again = ingest(spark, [source((F.col("ano") == 1996) & F.col("proficiencia").isNotNull())], base)
+    rollups.refresh(spark, read_layer(spark, f"{base}/alunos"), store, again["alunos"].partitions)
+    return analysis.base_from_rollup(chain.silver_fine(spark, d), chain.silver_target_fine(spark, d),
+                                     rollups.read(spark, store))
+
+
 # --- dashboard marts -------------------------------------------------------------
 # The dashboard reads the Gold layer: each mart query first writes the Gold
 # table(s) it needs (once), then aggregates the files -- the latest-period
 # self-join never recomputes the upstream plan.
 def _gold_tables(spark, d, *names):
-    from goalpost.sources.layers import materialize
     gold = _gold
     out = {}
     if {"attainment", "evolution"} & set(names):
@@ -302,6 +352,29 @@ def bronze_ingest(spark, d):
     return read_layer(spark, f"{base}/alunos")
 
 
+@query("bronze_plain")
+def bronze_plain(spark, d):
+    """The unpartitioned source read back, beside the sorted period values that the other source's ingest
+    reported."""
+    base = fresh_path(spark, "bronze")
+    done = ingest(spark, [Source("alunos", lambda s: analogue.micro(s, d), "ano"),
+                          Source("diretorio_municipio", lambda s: analogue.directory(s, d), None)], base)
+    periods = ",".join(map(str, done["alunos"].partitions))
+    return read_layer(spark, f"{base}/diretorio_municipio").withColumn("periodos", F.lit(periods))
+
+
+@query("mixed_layout")
+def mixed_layout(spark, d):
+    """One table of three layouts -- year only in the folder, year in folder and file, year only in the file and in
+    no folder, one of them with a column more -- read as one."""
+    path, m = fresh_path(spark, "mixed"), analogue.micro(spark, d).select("ano", "id_aluno", "proficiencia")
+    write_layer(m.where(F.col("ano") <= 1996), path, "ano")
+    late = m.where((F.col("ano") > 1996) & (F.col("ano") <= 1998)).withColumn("origem", F.lit("arquivo"))
+    late.withColumn("dir", F.col("ano")).repartition("dir").write.partitionBy("dir").parquet(f"{path}/lote=2")
+    m.where(F.col("ano") > 1998).write.parquet(f"{path}/resto")
+    return read_files(spark, path, ["ano", "lote"])
+
+
 @query("bronze_reingest")
 def bronze_reingest(spark, d):
     """Re-ingest one year with dynamic partition overwrite; the other years stay."""
@@ -344,7 +417,14 @@ def gold_roundtrip(spark, d):
 
 _PARSED = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType()),
                         T.StructField("event_type", T.StringType()), T.StructField("value", T.DoubleType()),
-                        T.StructField("props", T.StringType())])
+                        T.StructField("props", T.StringType()), T.StructField("ts", T.TimestampNTZType())])
+
+
+def _fields(body: str = "body") -> list:
+    """The event's fields parsed back from a body; the time as text, so that both engines compare the same value."""
+    p = F.from_json(body, _PARSED)
+    return [F.date_format(p["ts"], "yyyy-MM-dd HH:mm:ss").alias("ts") if f.name == "ts" else p[f.name].alias(f.name)
+            for f in _PARSED.fields]
 
 
 @query("event_encode")
@@ -355,8 +435,7 @@ def event_encode(spark, d):
     e = e.withColumn("value", F.when(k == 7, F.lit(float("nan"))).when(k == 9, F.lit(float("inf")))
                      .otherwise(F.col("value")))
     enc = _ev.encode(e, "event_id")
-    p = F.from_json("body", _PARSED)
-    return enc.select("message_id", *[p[f.name].alias(f.name) for f in _PARSED.fields],
+    return enc.select("message_id", *_fields(),
                       F.col("body").rlike("NaN|Infinity").alias("has_non_finite_text"))
 
 
@@ -367,22 +446,18 @@ def event_validate(spark, d):
     return v.select("message_id", "event_id", "motivo", "valido")
 
 
-def _stream_run(spark, d, mode="quarantine"):
-    out, ckpt = fresh_path(spark, "stream-out"), fresh_path(spark, "stream-ckpt")
-    metrics = _ing.run_ingest(_src.message_stream(spark, d), out, ckpt, _src.REQUIRED, mode=mode)
+def _stream_run(spark, d, mode="quarantine", out=None, fmt="parquet"):
+    out, ckpt = out or fresh_path(spark, "stream-out"), fresh_path(spark, "stream-ckpt")
+    metrics = _ing.run_ingest(_src.message_stream(spark, d), out, ckpt, _src.REQUIRED, mode=mode, fmt=fmt)
     return out, metrics
 
 
 def _read_or_empty(spark, path, schema):
-    """A sink table that may not exist yet (no rejected event at all) reads as empty."""
-    from pyspark.errors import AnalysisException
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return spark.createDataFrame([], schema)
+    """A sink table that may not exist yet (no rejected event at all) reads as empty; any other fault is raised."""
+    return spark.read.schema(schema).parquet(path) if files.exists(spark, path) else spark.createDataFrame([], schema)
 
 
-_Q_SCHEMA = "message_id string, body string, motivo string, dt_ingestao date, batch_id int"
+_Q_SCHEMA = "message_id string, body string, motivo string, dt_ingestao date, run string, batch_id int"
 
 
 @query("stream_ingest")
@@ -390,10 +465,7 @@ def stream_ingest(spark, d):
     """Accepted events written by ingestion date, read back (fields parsed from the kept raw body)."""
     out, _ = _stream_run(spark, d)
     acc = spark.read.parquet(f"{out}/accepted")
-    p = F.from_json("body", _PARSED)
-    return acc.select("message_id", p["event_id"].alias("event_id"), p["user_id"].alias("user_id"),
-                      p["event_type"].alias("event_type"),
-                      (F.col("dt_ingestao") == F.current_date()).alias("ingerido_hoje"))
+    return acc.select("message_id", *_fields(), (F.col("dt_ingestao") == F.current_date()).alias("ingerido_hoje"))
 
 
 @query("stream_dedup")
@@ -406,6 +478,33 @@ def stream_dedup(spark, d):
     return acc.unionByName(rej).groupBy("message_id", "destino").agg(F.count(F.lit(1)).alias("copias"))
 
 
+@query("stream_redelivery")
+def stream_redelivery(spark, d):
+    """T5: the whole stream is delivered again to a run that starts over with a new checkpoint; no id is written twice."""
+    out, _ = _stream_run(spark, d)
+    _stream_run(spark, d, out=out)
+    acc = spark.read.parquet(f"{out}/accepted").select("message_id", F.lit("accepted").alias("destino"))
+    rej = _read_or_empty(spark, f"{out}/quarantine", _Q_SCHEMA).select("message_id", F.lit("quarantine").alias("destino"))
+    return acc.unionByName(rej).groupBy("message_id", "destino").agg(F.count(F.lit(1)).alias("copias"))
+
+
+@query("stream_counts")
+def stream_counts(spark, d):
+    """Received, duplicate, accepted and rejected messages of two runs, from the written counts of their batches."""
+    out, _ = _stream_run(spark, d)
+    _stream_run(spark, d, out=out)
+    c = _ing.batch_counts(spark, out)
+    return c.agg(*[F.sum(k).alias(k) for k in ("recebidos", "duplicados", "gravados", "quarentena")])
+
+
+@query("stream_json")
+def stream_json(spark, d):
+    """Accepted events as JSON files, one object a line, their batch folders joined, read back."""
+    out, _ = _stream_run(spark, d, fmt="json")
+    _ing.compact(spark, out, before="9999-12-31")
+    return _ing.read_accepted(spark, out).select(*_fields())
+
+
 @query("stream_quarantine")
 def stream_quarantine(spark, d):
     """Rejected events land in the quarantine table with their reason."""

@@ -1,15 +1,24 @@
 """Event encoding (T1, T8, E12, E13) and strict validation.
 
-Bodies are JSON objects; validation needs no UDF:
+Bodies are JSON objects; validation needs no UDF.  A body is parsed once, to a
+VARIANT, as the first element of an array whose second element is the body's
+own digest: ``[body,"md5"]``.  If that parses and its second element is the
+digest, the body was exactly one well-formed JSON value -- no trailing text
+whichever bracket closes it, no bare NaN/Infinity, no single quotes.  It is an
+object if its first non-blank character is ``{``.  The required fields, taken
+from the variant as *strings* (so ``0``, ``""`` and ``false`` pass and types are
+not checked), must be present and not null.
+
+The variant parser refuses objects that repeat a name, which count as valid
+here (the last value stands), and gives no reason.  Only the bodies it refuses
+go through the longer checks, which tell:
 
 1. ``json_array_length('[' || body || ']') = 1`` -- exactly one well-formed
    JSON value, no bare NaN/Infinity;
 2. ``json_object_keys('{"w":' || body || '}')`` has one key -- together with 1
    this rules out trailing text whichever bracket closes it;
-3. the first non-blank character is ``{`` -- the value is an object, and it
-   parses with single quotes / unquoted names / NaN refused;
-4. the required fields, read as *strings* (so ``0``, ``""`` and ``false``
-   pass and types are not checked), are present and not null.
+3. the value is an object and parses with single quotes / unquoted names / NaN
+   refused; the required fields are read from it as strings.
 
 The raw body is kept for the sink, so unknown fields survive.
 """
@@ -66,9 +75,8 @@ def _parse(body: Column, required: Sequence[str]) -> Column:
                                       "columnNameOfCorruptRecord": "_corrupt_record"})
 
 
-def rejection_reason(body: str | Column, required: Sequence[str]) -> Column:
-    """Null for a valid event, else the first failing check in the reference's order."""
-    b = F.col(body) if isinstance(body, str) else body
+def _slow_reason(b: Column, required: Sequence[str]) -> Column:
+    """The reason by the longer checks, in the order of the reference's; null for a valid event."""
     parsed = _parse(b, required)
     obj = is_object(b)
     well_formed = is_strict_value(b) & (~obj | F.coalesce(parsed["_corrupt_record"].isNull(), F.lit(False)))
@@ -82,7 +90,21 @@ def rejection_reason(body: str | Column, required: Sequence[str]) -> Column:
              .when(~F.coalesce(present, F.lit(False)), F.lit(MISSING_FIELD)))
 
 
+def parsed_once(body: Column) -> Column:
+    """VARIANT ``[body, digest]``; null where the body is not JSON text."""
+    return F.try_parse_json(F.concat(F.lit("["), body, F.lit(',"'), F.md5(body.cast("binary")), F.lit('"]')))
+
+
 def validate(messages: DataFrame, required: Sequence[str], body: str = "body") -> DataFrame:
     """Adds ``motivo`` (reason, null when valid) and ``valido``."""
-    return (messages.withColumn("motivo", rejection_reason(body, required))
+    b, v = F.col(body), F.col("__variant")
+    field = lambda c: F.try_variant_get(v, "$[0]['" + c.replace("'", "\\'") + "']", "string")
+    present = F.lit(True)
+    for c in required:
+        present = present & field(c).isNotNull()
+    whole = F.try_variant_get(v, "$[1]", "string") == F.md5(b.cast("binary"))
+    reason = (F.when(F.coalesce(whole, F.lit(False)),
+                     F.when(~is_object(b), F.lit(NOT_OBJECT)).when(~present, F.lit(MISSING_FIELD)))
+               .otherwise(_slow_reason(b, required)))
+    return (messages.withColumn("__variant", parsed_once(b)).withColumn("motivo", reason).drop("__variant")
                     .withColumn("valido", F.col("motivo").isNull()))

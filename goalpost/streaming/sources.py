@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 # --- fixed values of the message fixture --------------------------------------
 REQUIRED = ("event_id", "user_id", "event_type")
+STUDENT_REQUIRED = ("ano", "id_municipio", "id_aluno")      # of replayed student records
 CORRUPT_MOD = 50
 REDELIVER_MOD, REDELIVER_REST = 20, 5
 # -------------------------------------------------------------------------------

@@ -8,7 +8,14 @@ integers are BIGINT, rounding goes through the decimal text of the double
 
 from __future__ import annotations
 
-from goalpost.functions.codes import ALFABETIZADO, PREENCHIMENTO_CADERNO, PRESENCA, REDE, SERIE
+# --- fixed values: the assessment dictionary, written out here once more so that a wrong description shows ---
+REDE = {"0": "Total (Federal, Estadual, Municipal e Privada)", "1": "Federal", "2": "Estadual", "3": "Municipal",
+        "4": "Privada", "5": "Publica (Estadual e Municipal)", "6": "Publica (Federal, Estadual e Municipal)"}
+SERIE = {"2": "2o ano do Ensino Fundamental"}
+PRESENCA = {"0": "Ausente", "1": "Presente"}
+PREENCHIMENTO_CADERNO = {"0": "Prova nao preenchida", "1": "Prova preenchida"}
+ALFABETIZADO = {"0": "Nao", "1": "Sim"}
+# ---------------------------------------------------------------------------------------------------------------
 
 
 def R(x: str, n: int) -> str:
@@ -282,6 +289,9 @@ FROM micro GROUP BY ano""")
 register("enrich_directory", ["dirty", "directory"], """
 SELECT m.id_aluno, m.ano, m.id_municipio, d.nome, d.sigla_uf
 FROM dirty m LEFT JOIN (SELECT DISTINCT * FROM directory) d ON m.id_municipio = d.id_municipio""")
+register("lookup_salted", ["dirty", "directory"], """
+SELECT m.id_aluno, m.ano, m.id_municipio, d.nome, d.sigla_uf
+FROM dirty m LEFT JOIN (SELECT DISTINCT * FROM directory) d ON m.id_municipio = d.id_municipio""")
 register("integrate_targets", "integ_fine", "SELECT * FROM integ_fine")
 register("integrate_targets_coarse", "integ_coarse", "SELECT * FROM integ_coarse")
 register("integration_consistency", ["silver_fine", "target_fine"], """,
@@ -294,6 +304,16 @@ meta AS (SELECT id_municipio, ano, meta_alfabetizacao_2030 FROM (SELECT DISTINCT
             (11, "target not unique on join key", "error", DUPS("meta", "id_municipio, ano"))],
            ", 'target' AS side"))
 
+register("integration_consistency_coarse", ["silver_coarse", "target_coarse"], """,
+ind AS (SELECT sigla_uf, ano FROM silver_coarse WHERE rede = '3'),
+meta AS (SELECT sigla_uf, ano FROM (SELECT DISTINCT * FROM target_coarse) x)
+""" + REPORT([(0, "null indicator key", "error", "SELECT count_if(sigla_uf IS NULL OR ano IS NULL) FROM ind"),
+              (1, "territory-years without target", "warn", ORPH("ind", "meta", ["sigla_uf", "ano"]))],
+             ", 'indicator' AS side") + "\nUNION ALL " +
+    REPORT([(10, "null target key", "error", "SELECT count_if(sigla_uf IS NULL OR ano IS NULL) FROM meta"),
+            (11, "target not unique on join key", "error", DUPS("meta", "sigla_uf, ano"))],
+           ", 'target' AS side"))
+
 # --- aggregations ----------------------------------------------------------------
 register("micro_rollup", "micro", """
 SELECT id_municipio, ano, count(*) AS n_matric, count(proficiencia) AS n_prova,
@@ -326,6 +346,9 @@ SELECT *, 'meta_brasil' AS tabela FROM (SELECT DISTINCT * FROM target_country) a
 UNION ALL BY NAME SELECT *, 'meta_uf' AS tabela FROM (SELECT DISTINCT * FROM target_coarse) b
 UNION ALL BY NAME SELECT *, 'meta_municipio' AS tabela FROM (SELECT DISTINCT * FROM target_fine) c""")
 register("silver_micro", "silver_micro", "SELECT * FROM silver_micro")
+register("silver_publish", "silver_micro", "SELECT *, true AS recusada FROM silver_micro")
+register("rule_nulls_all", ["dirty"], REPORT([
+    (i, *DIRTY_RULES[k][1:]) for i, k in enumerate(("nulls", "nulls2", "warn"))]))
 
 # --- analysis ------------------------------------------------------------------------
 _BANDS = ("CASE WHEN participacao < 60 THEN '1: <60%' WHEN participacao < 70 THEN '2: 60-70%' "
@@ -339,6 +362,12 @@ def XAVG(x: str) -> str:
 
 
 register("missing_target_base", "an_base", "SELECT * FROM an_base")
+register("missing_target_incremental", "an_base", f""",
+again AS (SELECT id_municipio, ano, count(*) AS m, count(proficiencia) AS p, count_if(alfabetizado = '1') AS a
+          FROM silver_micro WHERE rede = '3' AND (ano <> 1996 OR proficiencia IS NOT NULL) GROUP BY id_municipio, ano)
+SELECT b.id_municipio, b.ano, nome, sigla_uf, taxa_oficial, orfao, m AS n_matric, p AS n_prova, a AS n_alfab,
+       {PCT('p', 'm', 1)} AS participacao
+FROM an_base b LEFT JOIN again g ON g.id_municipio = b.id_municipio AND g.ano = b.ano""")
 register("missing_target_coverage", "an_base", """
 SELECT count(*) AS municipio_anos, count_if(orfao) AS municipio_anos_orfaos,
        CAST(count(DISTINCT CASE WHEN orfao THEN id_municipio END)
@@ -417,6 +446,13 @@ SELECT s_suppkey AS id, s_name AS nome, CAST(s_nationkey AS BIGINT) AS nacao, s_
 
 # --- storage round trips ------------------------------------------------------------------
 register("bronze_ingest", "micro", "SELECT * FROM micro")
+register("bronze_plain", ["directory", "micro"], """
+SELECT *, (SELECT string_agg(CAST(ano AS VARCHAR), ',' ORDER BY ano) FROM (SELECT DISTINCT ano FROM micro) y) AS periodos
+FROM directory""")
+register("mixed_layout", "micro", """
+SELECT id_aluno, proficiencia, ano, CASE WHEN ano IN (1997, 1998) THEN CAST(2 AS BIGINT) END AS lote,
+       CASE WHEN ano IN (1997, 1998) THEN 'arquivo' END AS origem
+FROM micro""")
 register("bronze_reingest", "micro", """
 SELECT * REPLACE (CASE WHEN ano = 1998 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS peso_aluno) FROM micro""")
 register("bronze_null_period", "micro", """
@@ -433,14 +469,27 @@ _REASON = ("CASE event_id % 50 WHEN 0 THEN 'malformed' WHEN 1 THEN 'not an objec
 register("event_encode", [], """
 SELECT CAST(event_id AS VARCHAR) AS message_id, event_id, user_id, event_type,
        CASE WHEN event_id % 40 IN (7, 9) THEN CAST(NULL AS DOUBLE) ELSE value END AS value, props,
-       false AS has_non_finite_text
+       strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, false AS has_non_finite_text
 FROM events""")
 register("event_validate", [], f"""
 SELECT CAST(event_id AS VARCHAR) AS message_id, event_id, {_REASON} AS motivo, (event_id % 50 > 3) AS valido
 FROM ({_MSGS}) m""")
 register("stream_ingest", [], """
-SELECT CAST(event_id AS VARCHAR) AS message_id, event_id, user_id, event_type, true AS ingerido_hoje
+SELECT CAST(event_id AS VARCHAR) AS message_id, event_id, user_id, event_type, value, props,
+       strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, true AS ingerido_hoje
 FROM events WHERE event_id % 50 > 3""")
+register("stream_json", [], """
+SELECT event_id, user_id, event_type, value, props, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts
+FROM events WHERE event_id % 50 > 3""")
+register("stream_redelivery", [], """
+SELECT CAST(event_id AS VARCHAR) AS message_id,
+       CASE WHEN event_id % 50 > 3 THEN 'accepted' ELSE 'quarantine' END AS destino, CAST(1 AS BIGINT) AS copias
+FROM events""")
+register("stream_counts", [], """
+SELECT 2 * (count(*) + count(*) FILTER (WHERE event_id % 20 = 5)) AS recebidos,
+       count(*) + 2 * count(*) FILTER (WHERE event_id % 20 = 5) AS duplicados,
+       count(*) FILTER (WHERE event_id % 50 > 3) AS gravados, count(*) FILTER (WHERE event_id % 50 <= 3) AS quarentena
+FROM events""")
 register("stream_dedup", [], """
 SELECT CAST(event_id AS VARCHAR) AS message_id,
        CASE WHEN event_id % 50 > 3 THEN 'accepted' ELSE 'quarantine' END AS destino, CAST(1 AS BIGINT) AS copias

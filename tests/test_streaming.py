@@ -165,3 +165,83 @@ def test_replayed_batch_keeps_its_date(spark, scratch):
         ing.batch_writer(f"{scratch}/out", "quarantine", ing.IngestMetrics())(batch, 7)
     got = spark.read.parquet(f"{scratch}/out/accepted").collect()
     assert [(r.message_id, str(r.dt_ingestao)) for r in got] == [("1", "2024-01-31")]
+
+
+def _accepted(spark, scratch):
+    return sorted((r.message_id, r.body) for r in ing.read_accepted(spark, f"{scratch}/out").collect())
+
+
+def test_redelivery_to_a_new_checkpoint_adds_nothing(spark, scratch):
+    _run(spark, scratch)
+    before = _accepted(spark, scratch)
+    m = _run(spark, scratch, ckpt_name="ck2")
+    assert m.totals()["gravados"] == m.totals()["quarentena"] == 0 and m.totals()["lidos"] > 0
+    assert _accepted(spark, scratch) == before
+    c = ing.batch_counts(spark, f"{scratch}/out").collect()
+    assert len({r.run for r in c}) == 2
+    n = spark.read.parquet(f"{SF}/events.parquet").count()
+    copies = src.messages(spark, SF).count() - n
+    assert sum(r.recebidos for r in c) == 2 * (n + copies) and sum(r.duplicados for r in c) == n + 2 * copies
+    assert sum(r.gravados + r.quarentena for r in c) == n
+
+
+def test_counts_survive_a_restart(spark, scratch):
+    _run(spark, scratch)
+    one = ing.batch_counts(spark, f"{scratch}/out").orderBy("batch_id").collect()
+    _run(spark, scratch)                                # the same checkpoint: nothing new
+    again = ing.batch_counts(spark, f"{scratch}/out").where("recebidos > 0").orderBy("batch_id").collect()
+    assert [r for r in again] == [r for r in one if r.recebidos]
+
+
+def test_a_replayed_batch_does_not_meet_its_own_ids(spark, scratch):
+    batch = spark.sql("SELECT '1' AS message_id, '{}' AS body, true AS valido, CAST(null AS string) AS motivo, "
+                      "current_timestamp() AS __received")
+    for run, batch_id in (("a", 0), ("a", 0), ("b", 0), ("b", 1)):
+        ing.batch_writer(f"{scratch}/out", "quarantine", ing.IngestMetrics(), run)(batch, batch_id)
+    assert _accepted(spark, scratch) == [("1", "{}")]
+
+
+def test_ids_outside_the_lookback_are_ingested_again(spark, scratch):
+    batch = spark.sql("SELECT '1' AS message_id, '{}' AS body, true AS valido, CAST(null AS string) AS motivo, "
+                      "timestamp'2020-01-01 10:00:00' AS __received")
+    for run in ("a", "b"):
+        ing.batch_writer(f"{scratch}/out", "quarantine", ing.IngestMetrics(), run)(batch, 0)
+    assert len(_accepted(spark, scratch)) == 2
+
+
+def test_json_sink_and_compaction(spark, scratch):
+    body = '{"event_id":1,\n "user_id":2,"event_type":"a\\nb","extra":[1,2]}'
+    msgs = spark.createDataFrame([(str(i), body) for i in range(6)] + [("x", "{")], "message_id string, body string")
+    msgs.repartition(3).write.parquet(f"{scratch}/in")
+    stream = spark.readStream.schema(msgs.schema).option("maxFilesPerTrigger", 1).parquet(f"{scratch}/in")
+    ing.run_ingest(stream, f"{scratch}/out", f"{scratch}/ck", src.REQUIRED, fmt="json")
+    read = lambda: [json.loads(r.body) for r in ing.read_accepted(spark, f"{scratch}/out").collect()]
+    assert read() == [json.loads(body)] * 6
+    assert ing.compact(spark, f"{scratch}/out", before="2000-01-01") == [] and len(read()) == 6
+    assert len(ing.compact(spark, f"{scratch}/out", before="9999-12-31")) == 1
+    assert read() == [json.loads(body)] * 6
+    assert ing.compact(spark, f"{scratch}/out", before="9999-12-31") == []
+    names = [n for n in ing.files.data_files(spark, f"{scratch}/out/days")]
+    assert len(names) == 1 and names[0].endswith(".txt")
+
+
+def test_compaction_cut_short_shows_every_event_once(spark, scratch, monkeypatch):
+    _run(spark, scratch)
+    before = _accepted(spark, scratch)
+
+    def lost(*a):
+        raise RuntimeError("lost")
+    for step in ("write_note", "remove"):
+        with monkeypatch.context() as m:
+            m.setattr(ing.files, step, lost)
+            with pytest.raises(RuntimeError):
+                ing.compact(spark, f"{scratch}/out", before="9999-12-31")
+        assert _accepted(spark, scratch) == before
+    ing.compact(spark, f"{scratch}/out", before="9999-12-31")
+    assert _accepted(spark, scratch) == before
+
+
+def test_a_valid_body_is_parsed_once(spark):
+    df = spark.createDataFrame([(c,) for c in CASES], "body string")
+    plan = ev.validate(df, src.REQUIRED)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("parsejson") + plan.lower().count("parse_json") == 1
