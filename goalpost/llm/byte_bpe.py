@@ -24,7 +24,6 @@ from collections.abc import Iterator
 from itertools import chain, pairwise
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -174,9 +173,11 @@ class Codec:
         count = np.array([len(s) for s in split], np.int64)
         if not count.sum():
             return [np.empty(0, np.int32) for _ in texts]
-        code, distinct = pd.factorize(np.fromiter(chain.from_iterable(split), object, int(count.sum())))
+        number: dict[str, int] = {}         # numbered by a dict: arrays of strings take U+0000 for their end
+        code = np.fromiter((number.setdefault(m, len(number)) for m in chain.from_iterable(split)), np.int64,
+                           int(count.sum()))
         del split
-        ids = self._remembered(list(distinct))
+        ids = self._remembered(list(number))
         lens = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         flat = np.frombuffer(b"".join(ids), np.int32)
         out = ragged(flat, (np.cumsum(lens) - lens)[code], lens[code])
