@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from goalpost.llm.common import saved
@@ -66,23 +66,25 @@ def rake(table: DataFrame, targets: Mapping[str, DataFrame], rounds: int = ROUND
     """``table`` with ``w``: weights whose marginals have been scaled to the targets' shares, ``rounds`` times."""
     now = saved(table.withColumn("w", F.col("n").cast("double")), "mix-cells")
     total = now.agg(F.sum("w")).first()[0] or 0.0
-    goals = {}
+    names = []
     for k, t in targets.items():
         # shares over the values that hold tokens
         held = now.groupBy(F.col(f"mix_{k}").alias("value")).agg(F.sum("w").alias("have")).where("have > 0")
         goal = saved(held.join(t.groupBy("value").agg(F.sum("target").alias("target")), "value")
                          .select("value", "target"), "mix-target")
         share = goal.agg(F.sum("target")).first()[0] or 1.0
-        goals[k] = goal.select(F.col("value").alias(f"mix_{k}"), (F.col("target") / share * total).alias("goal"))
+        goal = goal.select(F.col("value").alias(f"mix_{k}"), (F.col("target") / share * total).alias(f"goal_{k}"))
+        now = now.join(goal, f"mix_{k}", "left").fillna(0.0, [f"goal_{k}"])
+        names.append(k)
+    now = saved(now, "mix-goals")
     for _ in range(rounds):
-        for k, goal in goals.items():
-            have = now.groupBy(f"mix_{k}").agg(F.sum("w").alias("have"))
-            scale = have.join(goal, f"mix_{k}", "left").select(
-                f"mix_{k}", F.when(F.col("have") > 0, F.coalesce("goal", F.lit(0.0)) / F.col("have"))
-                             .otherwise(0.0).alias("scale"))
-            now = now.join(scale, f"mix_{k}").withColumn("w", F.col("w") * F.col("scale")).drop("scale")
+        # one row a cell: each dimension's weight is a sum over the cells of a value, next to the cell itself
+        for k in names:
+            have = F.sum("w").over(Window.partitionBy(f"mix_{k}"))
+            now = now.withColumn("have", have).withColumn(
+                "w", F.col("w") * F.when(F.col("have") > 0, F.col(f"goal_{k}") / F.col("have")).otherwise(0.0)).drop("have")
         now = saved(now, "mix-round")
-    return now
+    return now.drop(*[f"goal_{k}" for k in names])
 
 
 def probabilities(raked: DataFrame, fraction: float = FRACTION, steps: int = SOLVE_STEPS) -> DataFrame:
