@@ -12,8 +12,9 @@ A document's tokens are its distinct word n-grams (64-bit hashes).  Two sets lin
    Every routing key first proposes one link from each member to its busiest member; proposals whose bound reaches the
    needed overlap are verified on the whole sets and give components.
 3. Where a key still holds several components, an R-tree over its members' points (boxes of coordinate maxima, joined
-   top-down against themselves) proposes every pair across components whose bound reaches the needed overlap, and
-   those are verified too.  Keys with very many members are dealt out as pairs of blocks of bounded size.
+   top-down against themselves) finds every pair across components whose bound reaches the needed overlap; a finer
+   count vector of each set, about two tokens a coordinate whatever its size, bounds the overlap of those again, and
+   what it leaves is verified too.  Keys with very many members are dealt out as pairs of blocks of bounded size.
 
 No link between different sets is lost; equal sets are one node throughout.  Defined results: null and empty texts have
 no token and link with nothing; a text shorter than an n-gram is one token; rows that repeat an id are one document
@@ -40,6 +41,7 @@ GROUPS = 256            # coordinates of a point
 FEW = 64                # members up to which a routing key's member list is compared with the other keys' lists
 BLOCK = 4096            # members of a routing key that one task compares with one other such block
 LEAF, FANOUT = 32, 8
+FINEST = 8192           # most coordinates of the finer count vector
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _SALT = np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -111,16 +113,35 @@ def node_of(tokens: bytes) -> int:
     return int.from_bytes(hashlib.blake2b(tokens, digest_size=8).digest(), "little", signed=True)
 
 
+def detail(spread: np.ndarray) -> bytes | None:
+    """Counts of about half as many groups as tokens (a power of two), each group a part of one of the point's; none if
+    a count is too large for a byte."""
+    bits = min(max(len(spread) // 2, 1).bit_length(), FINEST.bit_length() - 1)
+    count = np.bincount((spread >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return count.astype(np.uint8).tobytes() if count.max() < 256 else None
+
+
+def fine_bound(a: bytes | None, b: bytes | None, least: int) -> int:
+    """Summed minima of two finer count vectors at the coarser one's groups; ``least`` if either has none."""
+    if a is None or b is None:
+        return least
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    if len(x) != len(y):
+        n = min(len(x), len(y))
+        x, y = (v.reshape(n, -1).sum(axis=1, dtype=np.int32) for v in (x, y))
+    return int(np.minimum(x, y).sum(dtype=np.int64))
+
+
 def _features(docs: DataFrame, percent: int, width: int) -> DataFrame:
-    """doc_id, n, node (digest of the token set), point, and the routing keys of the first row with an id that a task has of
-    a set."""
+    """doc_id, n, node (digest of the token set), point, detail, and the routing keys of the first row with an id that a
+    task has of a set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set[int] = set()
         classes = size_classes(percent, 1)
         for batch in batches:
             named = batch.column(0).is_valid().to_pylist()
             for start, texts in slices(batch.column(1), 1 << 22):
-                size, node, point, keys = [], [], [], []
+                size, node, point, fine, keys = [], [], [], [], []
                 for t, has_id in zip(texts, named[start:], strict=False):
                     tokens = shingles(t, width)
                     if classes[-1][0] * percent < len(tokens) * 100:
@@ -130,19 +151,24 @@ def _features(docs: DataFrame, percent: int, width: int) -> DataFrame:
                     node.append(digest)
                     if not has_id or digest in sent:        # a row without an id links with nothing
                         point.append(None)
+                        fine.append(None)
                         keys.append(None)
                         continue
                     if len(sent) < 1_000_000:       # only spares shuffled rows
                         sent.add(digest)
-                    point.append(np.bincount((mix(tokens) >> np.uint64(56)).astype(np.int64),
+                    spread = mix(tokens)
+                    point.append(np.bincount((spread >> np.uint64(56)).astype(np.int64),
                                              minlength=GROUPS).astype(np.int32))
+                    fine.append(detail(spread))
                     keys.append(routing_keys(tokens, percent, classes).view(np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(start, len(texts)).cast(pa.int64()), pa.array(size, pa.int64()),
                      pa.array(node, pa.int64()), pa.array(point, pa.list_(pa.int32())),
-                     pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "n", "node", "point", "keys"])
+                     pa.array(fine, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
+                    ["doc_id", "n", "node", "point", "detail", "keys"])
 
-    return id_text(docs).mapInArrow(run, "doc_id long, n long, node long, point array<int>, keys array<long>")
+    return id_text(docs).mapInArrow(
+        run, "doc_id long, n long, node long, point array<int>, detail binary, keys array<long>")
 
 
 def bound(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -247,13 +273,13 @@ def _tree_pairs(members: DataFrame, percent: int) -> DataFrame:
     dealt = (members.withColumn("blocks", blocks).withColumn("own", own)
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-                     "own", "node", "n", "point", "root"))
+                     "own", "node", "n", "point", "detail", "root"))
 
     def pairs_of(rows: pa.Table) -> set[tuple[int, int]]:
         """Proposals of the rows of one (key, i, j)."""
         label = pd.factorize(rows["root"].to_pandas())[0]
         points = rows["point"].combine_chunks().flatten().to_numpy().reshape(-1, GROUPS)
-        sizes, node = rows["n"].to_numpy(), rows["node"].to_pylist()
+        sizes, node, fine = rows["n"].to_numpy(), rows["node"].to_pylist(), rows["detail"].to_pylist()
         i, j = rows["i"][0].as_py(), rows["j"][0].as_py()
         left = right = np.arange(len(node))
         if i != j:
@@ -263,8 +289,13 @@ def _tree_pairs(members: DataFrame, percent: int) -> DataFrame:
         if len(left) and len(right):
             a = Tree(points[left], sizes[left], label[left])
             found = a.join(a if i == j else Tree(points[right], sizes[right], label[right]), percent)
-        return {(min(p), max(p)) for x, y in found
-                for p in ((node[left[u]], node[right[v]]) for u, v in zip(x, y, strict=True))}
+        out = set()
+        for x, y in found:
+            for u, v in zip(left[x].tolist(), right[y].tolist(), strict=True):
+                least = needed(int(sizes[u] + sizes[v]), percent)
+                if fine_bound(fine[u], fine[v], least) >= least:
+                    out.add((min(node[u], node[v]), max(node[u], node[v])))
+        return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # rows come sorted by (key, i, j); the last, perhaps unfinished, one waits for the next batch
@@ -299,7 +330,7 @@ def link(docs: DataFrame, percent: int = 85, width: int = 4) -> DataFrame:
     # a task sends each set once; equal sets from other tasks fall together here
     points = named.where(F.col("point").isNotNull()).join(
         members.select("node").distinct(), "node", "left_semi").groupBy("node").agg(
-        F.min("n").alias("n"), F.min("point").alias("point"))
+        F.min("n").alias("n"), F.min("point").alias("point"), F.min("detail").alias("detail"))
     points = saved(points, "ngram-points")
 
     busy = members.groupBy("node").agg(F.sum("cnt").alias("busy"))
@@ -354,7 +385,7 @@ def _same_id(named: DataFrame) -> DataFrame:
 def drop_copies(docs: DataFrame, percent: int = 85, width: int = 4) -> DataFrame:
     """One row of each component stays: the one with its smallest doc_id (every row without an id stays).
 
-    Rows that repeat the kept id are one document, of which one row stays."""
+    Rows that repeat the kept id are one document, of which the row with the first text in order stays."""
     linked = saved(link(docs, percent, width).select("doc_id", "component_id"), "ngram-linked")
     gone = saved(linked.where("doc_id != component_id").select(F.col("doc_id").alias("gone_id")).distinct(),
                  "ngram-gone")
@@ -365,4 +396,6 @@ def drop_copies(docs: DataFrame, percent: int = 85, width: int = 4) -> DataFrame
         return kept
     repeated = docs["doc_id"] == twice["twice_id"]
     return (kept.join(twice, repeated, "left_anti")
-                .unionByName(kept.join(twice, repeated, "left_semi").dropDuplicates(["doc_id"])))
+                .unionByName(kept.join(twice, repeated, "left_semi").groupBy("doc_id")
+                                 .agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]),
+                                               F.coalesce("text", F.lit(""))).alias("kept_row")).select("kept_row.*")))
