@@ -122,7 +122,10 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def filter_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` whose score is under ``threshold``, all columns as they were."""
+    """The rows of ``docs`` whose score is under ``threshold``, all columns as they were; every row, if the model had no
+    labels of both classes to learn from."""
+    if not model.weight.any():
+        return docs
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index("text")
 
