@@ -32,6 +32,8 @@ from goalpost.llm.common import broadcast_if_small, id_text, saved, slices
 LEAST, MOST, SPACING, MIN_CHARS = 20, 160, 32, 128
 # after a shared chunk both texts are cut alike up to their first difference; before it their cuts may be out of step
 BEFORE, AFTER = 512, MOST
+# bits of the map of repeated digests: 16 MB
+BITS = 27
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -75,8 +77,25 @@ def cuts(raw: np.ndarray, least: int = LEAST, most: int = MOST, spacing: int = S
     return out
 
 
-def chunks(docs: DataFrame) -> DataFrame:
-    """doc_id, row, character start and end, and digest (d1, d2) of every chunk of ``docs`` (doc_id, text, row)."""
+def repeated_bits(digests: DataFrame) -> np.ndarray:
+    """A bit map (2^``BITS`` bits, so bounded) with the bit of every d1 that occurs twice or more set."""
+    twice = digests.groupBy("d1").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    at = F.col("d1").bitwiseAND(F.lit((1 << BITS) - 1))
+    part = F.shiftright(at, 15).cast("int").alias("part")
+    rows = (twice.select(part, at.bitwiseAND(F.lit(32767)).alias("bit")).groupBy("part")
+                 .agg(F.bitmap_construct_agg("bit").alias("bits")).collect())       # at most 2^(BITS - 15) rows of 4 KB
+    out = np.zeros((1 << (BITS - 15), 4096), np.uint8)
+    for r in rows:
+        out[r["part"]] = np.frombuffer(bytes(r["bits"]), np.uint8)
+    return out.ravel()
+
+
+def chunks(docs: DataFrame, bits: np.ndarray | None = None) -> DataFrame:
+    """doc_id, row, character start and end, and digest (d1, d2) of every chunk of ``docs`` (doc_id, text, row).
+
+    With ``bits`` (``repeated_bits``) only chunks whose bit is set: all repeated ones, and few others."""
+    marked = None if bits is None else docs.sparkSession.sparkContext.broadcast(bits)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, rows = batch.column(0).cast(pa.int64()).to_pylist(), batch.column(2).to_pylist()
@@ -97,11 +116,16 @@ def chunks(docs: DataFrame) -> DataFrame:
                     hi.append(char[at[1:]])
                 if not owner:
                     continue
-                owner = np.concatenate(owner).tolist()
+                owner, lo, hi = np.concatenate(owner), np.concatenate(lo), np.concatenate(hi)
                 d = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+                if marked is not None:
+                    at = d[:, 0] & ((1 << BITS) - 1)
+                    keep = (marked.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+                    owner, lo, hi, d = owner[keep], lo[keep], hi[keep], d[keep]
+                owner = owner.tolist()
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([ids[i] for i in owner], pa.int64()), pa.array([rows[i] for i in owner], pa.int64()),
-                     pa.array(np.concatenate(lo), pa.int32()), pa.array(np.concatenate(hi), pa.int32()),
+                     pa.array(lo, pa.int32()), pa.array(hi, pa.int32()),
                      pa.array(d[:, 0]), pa.array(d[:, 1])], ["doc_id", "row", "start", "end", "d1", "d2"])
 
     return docs.mapInArrow(run, "doc_id long, row long, start int, end int, d1 long, d2 long")
@@ -200,19 +224,19 @@ def _joined(spans: DataFrame, by: list[str], *more: Column) -> DataFrame:
                  .groupBy(*by, "span").agg(F.min("start").alias("start"), F.max("end").alias("end"), *more).drop("span"))
 
 
-def repeats(docs: DataFrame, min_chars: int = MIN_CHARS, within: bool = False) -> DataFrame:
-    """doc_id, start, end, n_chars, first_doc_id, first_start, first of every occurrence of a repeated passage.
-
-    ``within`` also counts passages whose occurrences all lie in one row."""
-    texts = saved(id_text(docs).withColumn("row", F.monotonically_increasing_id()), "texts")
+def _later(texts: DataFrame, min_chars: int, within: bool) -> DataFrame:
+    """Written: row, doc_id, start, end, o_doc_id, o_row, shift of every later occurrence of a repeated passage in a
+    written (doc_id, text, row) table."""
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "start")
-    shared = (chunks(texts).groupBy("d1", "d2").agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("lo"),
-                                                    F.max("row").alias("hi"), F.min(place).alias("at"))
-                           .where("n > 1" if within else "lo != hi")
-                           .select("d1", "d2", F.col("at.row").alias("o_row"), F.col("at.start").alias("o_start")))
-    later = (chunks(texts).select("row", "start", "end", "d1", "d2").join(shared, ["d1", "d2"])
-                          .where("row != o_row or start != o_start")
-                          .select("row", "o_row", (F.col("start") - F.col("o_start")).alias("shift"), "start", "end"))
+    # the first pass exchanges half a digest a chunk; the second only the chunks that may be repeated
+    seen = saved(chunks(texts, repeated_bits(chunks(texts).select("d1"))), "chunks")
+    shared = (seen.groupBy("d1", "d2").agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("lo"),
+                                           F.max("row").alias("hi"), F.min(place).alias("at"))
+                  .where("n > 1" if within else "lo != hi")
+                  .select("d1", "d2", F.col("at.row").alias("o_row"), F.col("at.start").alias("o_start")))
+    later = (seen.select("row", "start", "end", "d1", "d2").join(shared, ["d1", "d2"])
+                 .where("row != o_row or start != o_start")
+                 .select("row", "o_row", (F.col("start") - F.col("o_start")).alias("shift"), "start", "end"))
     # adjacent chunks whose first occurrences are adjacent too lie on one line (row, origin row, shift)
     line = ["row", "o_row", "shift"]
     runs = saved(_joined(later, line), "runs")
@@ -224,8 +248,17 @@ def repeats(docs: DataFrame, min_chars: int = MIN_CHARS, within: bool = False) -
     both = (runs.withColumn("o_start", F.col("start") - F.col("shift")).withColumn("o_end", F.col("end") - F.col("shift"))
                 .join(around, ["row", "start", "end"]).join(theirs, ["o_row", "o_start", "o_end"]))
     found = _joined(_extended(both), ["doc_id", "o_doc_id", *line], F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    found = saved(_unexplained(found.where(F.col("end") - F.col("start") >= min_chars)), "passages")
-    first = _joined(found.select(F.col("o_doc_id").alias("doc_id"), *origin).distinct(), ["doc_id", "row"])
+    return saved(_unexplained(found.where(F.col("end") - F.col("start") >= min_chars)), "passages")
+
+
+def repeats(docs: DataFrame, min_chars: int = MIN_CHARS, within: bool = False) -> DataFrame:
+    """doc_id, start, end, n_chars, first_doc_id, first_start, first of every occurrence of a repeated passage.
+
+    ``within`` also counts passages whose occurrences all lie in one row."""
+    found = _later(saved(id_text(docs).withColumn("row", F.monotonically_increasing_id()), "texts"), min_chars, within)
+    origin = [(F.col("start") - F.col("shift")).alias("start"), (F.col("end") - F.col("shift")).alias("end")]
+    first = _joined(found.select(F.col("o_doc_id").alias("doc_id"), F.col("o_row").alias("row"), *origin).distinct(),
+                    ["doc_id", "row"])
     n_chars = (F.col("end") - F.col("start")).alias("n_chars")
     return found.select("doc_id", "start", "end", n_chars, F.col("o_doc_id").alias("first_doc_id"),
                         (F.col("start") - F.col("shift")).alias("first_start"), F.lit(False).alias("first")).unionAll(
@@ -234,16 +267,17 @@ def repeats(docs: DataFrame, min_chars: int = MIN_CHARS, within: bool = False) -
 
 
 def remove(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """``docs`` with every later occurrence of a repeated passage cut out; ids must be unique where not null."""
-    later = repeats(docs, min_chars, within=True).where(~F.col("first") & F.col("doc_id").isNotNull())
-    spans = (_joined(later.select("doc_id", "start", "end"), ["doc_id"]).groupBy(F.col("doc_id").alias("cut_id"))
+    """``docs`` with every later occurrence of a repeated passage cut out, row by row: also among rows that repeat an id
+    or have none, the first occurrence stays."""
+    rows = saved(docs.select(F.struct(*docs.columns).alias("doc")).withColumn("row", F.monotonically_increasing_id()),
+                 "rows")
+    later = _later(rows.select("doc.doc_id", "doc.text", "row"), min_chars, within=True)
+    spans = (_joined(later.select("row", "start", "end"), ["row"]).groupBy("row")
              .agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("cut_spans")))
     # pieces between the spans: from the end of one to the start of the next
-    wrapped = docs.select(F.struct(*docs.columns).alias("row")).join(
-        spans, F.col("row.doc_id") == F.col("cut_id"), "left")
+    cut = rows.join(spans, "row", "left")
     ends = F.concat(F.array(F.lit(0)), F.col("cut_spans.end"))
-    starts = F.concat(F.col("cut_spans.start"), F.array(F.length("row.text")))
-    pieces = F.zip_with(ends, starts, lambda a, b: F.substring(F.col("row.text"), a + 1, b - a))
-    text = F.when(F.col("cut_spans").isNull(), F.col("row.text")).otherwise(F.array_join(pieces, ""))
-    return wrapped.select(*[text.alias(c) if c == "text" else F.col("row").getField(c).alias(c)
-                            for c in docs.columns])
+    starts = F.concat(F.col("cut_spans.start"), F.array(F.length("doc.text")))
+    pieces = F.zip_with(ends, starts, lambda a, b: F.substring(F.col("doc.text"), a + 1, b - a))
+    text = F.when(F.col("cut_spans").isNull(), F.col("doc.text")).otherwise(F.array_join(pieces, ""))
+    return cut.select(*[text.alias(c) if c == "text" else F.col("doc").getField(c).alias(c) for c in docs.columns])
