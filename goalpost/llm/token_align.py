@@ -23,6 +23,8 @@ import os
 import re
 from array import array
 from collections.abc import Iterator
+from itertools import compress, repeat
+from operator import is_
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +36,7 @@ from goalpost.llm.byte_bpe import WORD_PATTERN, byte_characters, code_point_kind
 from goalpost.llm.common import id_text, saved, slices
 
 #: Most pairs of the broadcast table (24 bytes each), and the distinct matches a worker remembers.
-HEAD, REMEMBERED, LONGEST = 1 << 20, 150_000, 24
+HEAD, REMEMBERED, LONGEST = 1 << 20, 300_000, 24
 
 
 class ByteLevel:
@@ -50,11 +52,14 @@ class ByteLevel:
             self.tokens[t["id"]] = t["content"].encode()
         for t, i in spec["model"]["vocab"].items():
             self.tokens[i] = bytes(table[c] for c in t)
+        # merges made in the order of their ids: the rank library, given the ids as ranks, encodes alike and faster
+        made = [spec["model"]["vocab"]["".join(m if isinstance(m, list) else m.split(" "))] for m in spec["model"]["merges"]]
+        self.ranked = made == sorted(made) and not spec["model"].get("dropout")
         # every byte has a token and nothing changes the text before: tokens spell any text
         self.exact = spec.get("normalizer") is None and len({t for t in self.tokens if len(t) == 1}) == 256
 
     def __getstate__(self):
-        return {"path": self.path, "pattern": self.pattern, "tokens": self.tokens, "exact": self.exact, "_known": {}}
+        return {"path": self.path, "pattern": self.pattern, "tokens": self.tokens, "exact": self.exact, "ranked": self.ranked, "_known": {}}
 
     def ready(self) -> ByteLevel:
         if not hasattr(self, "_model"):
@@ -63,14 +68,29 @@ class ByteLevel:
             self._model = Tokenizer.from_file(self.path)
             self._model.encode_special_tokens = True
             self._model.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+            if self.ranked and self.exact:
+                import tiktoken
+                special = self._model.get_added_tokens_decoder()
+                ranks = {t: i for i, t in enumerate(self.tokens) if i not in special}
+                self._rank = tiktoken.Encoding("match", pat_str=r"(?s:.+)", mergeable_ranks=ranks, special_tokens={})
             kinds = code_point_kinds()
             self._split = ((lambda t: split_words(t, kinds)) if self.pattern == WORD_PATTERN
                            else regex.compile(self.pattern).findall)
         return self
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return _by_match([self._split(t) for t in texts], self._known, lambda new: [
-            e.ids for e in self._model.encode_batch_fast(new, add_special_tokens=False)])
+    def encode(self, texts: list[str]) -> list[np.ndarray | None]:
+        """Ids of every text; None where they do not spell it."""
+        return _by_match([self._split(t) for t in texts], self._known, self._library)
+
+    def _library(self, matches: list[str]) -> list[list[int] | None]:
+        if self.ranked and self.exact:
+            return [self._rank.encode_ordinary(m) for m in matches]
+        out = [e.ids for e in self._model.encode_batch_fast(matches, add_special_tokens=False)]
+        return out if self.exact else [ids if _spells(ids, self.tokens, m) else None for ids, m in zip(out, matches, strict=True)]
+
+
+def _spells(ids: list[int], tokens: list[bytes], text: str) -> bool:
+    return b"".join(map(tokens.__getitem__, ids)) == text.encode("utf-8", "surrogatepass")
 
 
 class Pieces:
@@ -100,36 +120,46 @@ class Pieces:
             self._model = self._load()
         return self
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of every text, before which the model puts a space."""
-        model = self._model
-        if not self.by_run:
-            return [np.array(ids, np.int32) for ids in model.encode(texts, num_threads=1)]
+    def encode(self, texts: list[str]) -> list[np.ndarray | None]:
+        """Ids of every text, before which the model puts a space; None where they do not spell the space and the text."""
+        if self.by_run:
+            return _by_match([_RUN.findall(" " + t) for t in texts], self._known, self._library)
+        return [np.array(ids, np.int32) if _spells(ids, self.tokens, " " + t) else None
+                for ids, t in zip(self._model.encode(texts, num_threads=1), texts, strict=True)]
 
-        def encode(runs: list[str]) -> list[list[int]]:
-            # the model puts a run's first space back; a lone space would be no text
-            return [ids or [self.space] for ids in model.encode([r[1:] for r in runs], num_threads=1)]
-        return _by_match([_RUN.findall(" " + t) for t in texts], self._known, encode)
+    def _library(self, runs: list[str]) -> list[list[int] | None]:
+        # the model puts a run's first space back; a lone space would be no text
+        out = [ids or [self.space] for ids in self._model.encode([r[1:] for r in runs], num_threads=1)]
+        return [ids if _spells(ids, self.tokens, r) else None for ids, r in zip(out, runs, strict=True)]
 
 
 _RUN = re.compile(" *[^ ]+| +")
 
 
-def _by_match(split: list[list[str]], known: dict[str, bytes], encode) -> list[np.ndarray]:
-    """Ids of the matches of each text; ``known`` remembers a bounded number of short ones."""
+def _by_match(split: list[list[str]], known: dict[str, bytes], library) -> list[np.ndarray | None]:
+    """Ids of the matches of each text, None if the ids of one of them do not spell it (so each is compared once, when the
+    library encodes it); ``known`` remembers a bounded number of short ones."""
     if len(known) > REMEMBERED:
         known.clear()
-    new = list(set().union(*split).difference(known))
-    found = {}
+    got = [list(map(known.get, matches)) for matches in split]
+    gaps = [(i, list(compress(range(len(g)), map(is_, g, repeat(None))))) for i, g in enumerate(got) if None in g]
+    new = list({split[i][k] for i, places in gaps for k in places})
     for at in range(0, len(new), 4096):
         part = new[at:at + 4096]
-        found.update((m, array("i", ids).tobytes()) for m, ids in zip(part, encode(part), strict=True))
-    known.update(found)
-    out = [np.frombuffer(b"".join(map(known.__getitem__, matches)), np.int32) for matches in split]
+        # b"" stands for a match that is not spelled: every other match has a token
+        known.update((m, b"" if ids is None else array("i", ids).tobytes())
+                     for m, ids in zip(part, library(part), strict=True))
+    for i, places in gaps:
+        matches, found = split[i], got[i]
+        for k in places:
+            found[k] = known[matches[k]]
+    # a match that is not spelled is not remembered: only texts with new matches can hold one
+    unspelled = any(not known[m] for m in new)
+    bad = {i for i, places in gaps if not all(got[i][k] for k in places)} if unspelled else ()
     for m in new:
-        if len(m) > LONGEST:
+        if len(m) > LONGEST or not known[m]:
             del known[m]
-    return out
+    return [None if i in bad else np.frombuffer(b"".join(g), np.int32) for i, g in enumerate(got)]
 
 
 def diagonal_runs(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int, int]]]:
@@ -137,25 +167,25 @@ def diagonal_runs(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[list[tuple[in
     the same last end."""
     a, b, n = [*ends_a.tolist(), -1], [*ends_b.tolist(), -2], len(ends_a)     # no run goes past these
     runs, groups = [], []
+    skipped, resolved = runs.append, groups.append
     i = j = 0
     while i < n:
-        first, at = i, j
-        if a[i] == b[j]:
+        first, at, p, q = i, j, a[i], b[j]
+        if p == q:
             i += 1
             j += 1
             step = 1
-            while a[i:i + step] == b[j:j + step]:       # further at the same shift, twice as far each time
+            while a[i] == b[j] and a[i:i + step] == b[j:j + step]:      # further at the same shift, twice as far each time
                 i += step
                 j += step
                 step *= 2
-            while step > 1:                             # the parting lies in the last probe
+            while step > 1:                                             # the parting lies in the last probe
                 step //= 2
                 if a[i:i + step] == b[j:j + step]:
                     i += step
                     j += step
-            runs.append((first, at, i - first))
+            skipped((first, at, i - first))
             continue
-        p, q = a[i], b[j]
         while p != q:
             if p < q:
                 i += 1
@@ -165,7 +195,7 @@ def diagonal_runs(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[list[tuple[in
                 q = b[j]
         i += 1
         j += 1
-        groups.append((first, at, i - first, j - at))
+        resolved((first, at, i - first, j - at))
     return runs, groups
 
 
@@ -194,14 +224,8 @@ class Aligner:
         """Both id arrays of every text; empty if either side's bytes are not those of the space and the text."""
         none = np.empty(0, np.int32), np.empty(0, np.int32)
         texts = [t or "" for t in texts]
-        both = zip(self.a.encode([" " + t for t in texts]), self.b.encode(texts), strict=True)
-        spell = lambda ids, side: b"".join(map(side.tokens.__getitem__, ids.tolist()))
-        out = []
-        for t, (a, b) in zip(texts, both, strict=True):
-            spelled = (" " + t).encode("utf-8", "surrogatepass")
-            same = t and (self.a.exact or spell(a, self.a) == spelled) and spell(b, self.b) == spelled
-            out.append((a, b) if same else none)
-        return out
+        both = zip(texts, self.a.encode([" " + t for t in texts]), self.b.encode(texts), strict=True)
+        return [(a, b) if t and a is not None and b is not None else none for t, a, b in both]
 
     def align(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(first token of each group in a, and in b; token of a and token of b of each link)."""
