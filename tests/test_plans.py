@@ -60,8 +60,8 @@ def test_rule_report_is_one_plan_of_aggregates(spark):
     rep = q.evaluate(df, [q.nulls("n", ["id_municipio"]), q.duplicates("d", ["ano", "id_aluno"]),
                           q.not_in("s", "alfabetizado", ["0", "1"])])
     ops = nodes(rep)
-    # two scans: the fixture repeats some rows by a union of the table with itself
-    assert "Window" not in ops and "HashAggregate" in ops and ops.count("Scan parquet") == 2
+    # one scan: the fixture repeats rows in place
+    assert "Window" not in ops and "HashAggregate" in ops and ops.count("Scan parquet") == 1
 
 
 def test_rank_never_windows_the_data_by_parent(spark):
