@@ -17,9 +17,6 @@ from goalpost.functions.codes import ALFABETIZADO, PREENCHIMENTO_CADERNO, PRESEN
 from goalpost.operators import quality as q
 from goalpost.operators.joins import lookup
 
-DIRECTORY_COLUMNS = ["id_municipio", "nome", "sigla_uf", "nome_uf", "nome_regiao", "capital_uf", "amazonia_legal"]
-
-
 @dataclass(frozen=True)
 class TargetSpec:
     name: str
@@ -27,7 +24,8 @@ class TargetSpec:
     null_target_is_error: bool = True
 
 
-# --- fixed values: the three target tables and their geographic key ---------
+# --- fixed values: the directory's columns; the three target tables and their geographic key ---------
+DIRECTORY_COLUMNS = ["id_municipio", "nome", "sigla_uf", "nome_uf", "nome_regiao", "capital_uf", "amazonia_legal"]
 TARGETS = (
     TargetSpec("meta_brasil", None),
     TargetSpec("meta_uf", "sigla_uf", null_target_is_error=False),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -35,14 +36,17 @@ def local_session(cpus: int | str = "*", app: str = "goalpost", **extra: str) ->
 def shared_dir(spark: SparkSession) -> str:
     """Base folder for tables the jobs write (layers, stream sinks, checkpoints).
 
-    On a cluster this is the shared folder named by ``spark.checkpoint.dir``;
-    only when the session has none (local tests) a fresh temp folder is set.
+    On a cluster this is the shared folder named by ``spark.checkpoint.dir``; a cluster session without one is an
+    error, since executors would not see a folder of the driver's machine.  Only a local session (tests) gets a fresh
+    temp folder.
     """
     sc = spark.sparkContext
     base = sc.getConf().get("spark.checkpoint.dir", None)
     if not base:
         base = sc.getCheckpointDir()
     if not base:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="run-", dir=os.environ.get("TMPDIR", "/tmp"))
         sc.setCheckpointDir(base)
         base = sc.getCheckpointDir() or base
