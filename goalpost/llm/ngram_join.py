@@ -121,15 +121,20 @@ def detail(spread: np.ndarray) -> bytes | None:
     return count.astype(np.uint8).tobytes() if count.max() < 256 else None
 
 
-def fine_bound(a: bytes | None, b: bytes | None, least: int) -> int:
-    """Summed minima of two finer count vectors at the coarser one's groups; ``least`` if either has none."""
-    if a is None or b is None:
-        return least
-    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
-    if len(x) != len(y):
-        n = min(len(x), len(y))
-        x, y = (v.reshape(n, -1).sum(axis=1, dtype=np.int32) for v in (x, y))
-    return int(np.minimum(x, y).sum(dtype=np.int64))
+def fine_bounds(a: list[bytes | None], b: list[bytes | None], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Summed minima of the finer count vectors a[x[k]] and b[y[k]], at the groups of the coarsest of them; where one is
+    missing, more than any overlap."""
+    left, at_x = np.unique(x, return_inverse=True)
+    right, at_y = np.unique(y, return_inverse=True)
+    held = [a[i] for i in left.tolist()], [b[i] for i in right.tolist()]
+    n = min((len(v) for side in held for v in side if v is not None), default=1)
+    none = np.zeros(n, np.uint16)
+    p, q = (np.stack([none if v is None else np.frombuffer(v, np.uint8).reshape(n, -1).sum(axis=1, dtype=np.uint16)
+                      for v in side]) for side in held)
+    out = np.minimum(p[at_x], q[at_y]).sum(axis=1, dtype=np.int64)
+    missing = [np.array([v is None for v in side]) for side in held]
+    out[missing[0][at_x] | missing[1][at_y]] = np.iinfo(np.int64).max
+    return out
 
 
 def _features(docs: DataFrame, percent: int, width: int) -> DataFrame:
@@ -289,12 +294,14 @@ def _tree_pairs(members: DataFrame, percent: int) -> DataFrame:
         if len(left) and len(right):
             a = Tree(points[left], sizes[left], label[left])
             found = a.join(a if i == j else Tree(points[right], sizes[right], label[right]), percent)
-        out = set()
+        out, step = set(), 4096
         for x, y in found:
-            for u, v in zip(left[x].tolist(), right[y].tolist(), strict=True):
-                least = needed(int(sizes[u] + sizes[v]), percent)
-                if fine_bound(fine[u], fine[v], least) >= least:
-                    out.add((min(node[u], node[v]), max(node[u], node[v])))
+            x, y = left[x], right[y]
+            for k in range(0, len(x), step):
+                u, v = x[k:k + step], y[k:k + step]
+                fits = fine_bounds(fine, fine, u, v) >= needed(sizes[u] + sizes[v], percent)
+                out.update((min(node[i], node[j]), max(node[i], node[j]))
+                           for i, j in zip(u[fits].tolist(), v[fits].tolist(), strict=True))
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -48,11 +48,14 @@ def test_the_finer_bound_never_undercuts_an_overlap():
         a = np.unique(a)
         both = len(np.intersect1d(a, b))
         x, y = (ngram_join.detail(ngram_join.mix(v)) for v in (a, b))
-        assert ngram_join.fine_bound(x, y, 0) >= both
+        assert ngram_join.fine_bounds([None, x], [y, None], np.array([1, 0, 1]), np.array([0, 0, 1])).tolist()[0] >= both
     big = ngram_join.mix(np.arange(5000, dtype=np.uint64)), ngram_join.mix(np.arange(10 ** 6, 10 ** 6 + 5000, dtype=np.uint64))
-    assert ngram_join.fine_bound(*map(ngram_join.detail, big), 0) < 0.7 * 5000      # unrelated sets are told apart
+    one = np.zeros(1, np.int64)
+    x, y = ([ngram_join.detail(v)] for v in big)
+    assert ngram_join.fine_bounds(x, y, one, one)[0] < 0.7 * 5000           # unrelated sets are told apart
+    assert ngram_join.fine_bounds(x, x, one, one)[0] == 5000
     assert ngram_join.detail(np.full(600, 7, np.uint64)) is None
-    assert ngram_join.fine_bound(None, x, 17) == 17
+    assert ngram_join.fine_bounds(x, [None], one, one)[0] > 10 ** 9        # no vector: no bound
 
 
 def test_one_row_of_a_repeated_id_stays_whatever_the_partitions(spark):
