@@ -88,7 +88,7 @@ def run_name(spark: SparkSession, checkpoint: str) -> str:
     return files.read_note(spark, note)
 
 
-def _known_ids(spark: SparkSession, out: str, run: str, batch_id: int, lookback_days: int, state_days: int) -> DataFrame | None:
+def _known_ids(spark: SparkSession, out: str, run: str, lookback_days: int, state_days: int) -> DataFrame | None:
     """Ids that the stream's state does not hold: of other runs, or of this run from before its state; None if there are
     none.  A batch that is replayed does not meet its own ids: they are of its run and inside its state."""
     if not _dates(spark, f"{out}/ids"):
@@ -113,7 +113,7 @@ def batch_writer(out: str, mode: str, metrics: IngestMetrics, run: str = "0", lo
         spark = batch.sparkSession
         batch = (batch.withColumn("dt_ingestao", F.to_date(RECEIVED)).withColumn("run", F.lit(run))
                       .withColumn("batch_id", F.lit(batch_id)))
-        known = _known_ids(spark, out, run, batch_id, lookback_days, state_days)
+        known = _known_ids(spark, out, run, lookback_days, state_days)
         batch = (batch.withColumn("__known", F.lit(False)) if known is None else
                  batch.join(known.distinct().withColumn("__known", F.lit(True)), "message_id", "left")
                       .withColumn("__known", F.coalesce("__known", F.lit(False))))
