@@ -64,12 +64,6 @@ def ids_of(column: pa.Array) -> np.ndarray:
     return column.fill_null(int(NO_ID)).to_numpy(zero_copy_only=False)
 
 
-def id_column(ids) -> pa.Array:
-    """Ids as an Arrow column, null for ``NO_ID``."""
-    ids = np.asarray(ids, np.int64)
-    return pa.array(ids, pa.int64(), mask=ids == NO_ID)
-
-
 def best_places(score: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int) -> np.ndarray:
     """Places of the ``k`` best: higher score first, then smaller id, then smaller row."""
     if len(score) > 4 * k:
