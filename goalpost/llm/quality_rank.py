@@ -70,17 +70,17 @@ class Model:
         return linear.sigmoid(self.slope * (rows @ self.weight - self.cut) + np.log(THRESHOLD / (1 - THRESHOLD)))
 
 
-def bradley_terry(rows: np.ndarray, y: np.ndarray, pairs: int, l2: float, seed: int) -> np.ndarray:
-    """Newton minimum of the mean logistic loss over preference pairs' feature differences."""
-    rng = np.random.default_rng(seed)
-    good, bad = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
-    diff = rows[rng.choice(good, pairs)] - rows[rng.choice(bad, pairs)]
-    w = np.zeros(rows.shape[1])
+def bradley_terry(rows: np.ndarray, y: np.ndarray, l2: float) -> np.ndarray:
+    """Newton minimum of the mean logistic loss over the feature differences of all (preferred, rejected) pairs."""
+    good, bad = rows[y == 1], rows[y == 0]
+    w, pairs = np.zeros(rows.shape[1]), len(good) * len(bad)
     for _ in range(60):
-        p = linear.sigmoid(-(diff @ w))
-        grad = -(diff.T @ p) / pairs + l2 * w
-        hess = (diff * (p * (1 - p))[:, None]).T @ diff / pairs + l2 * np.eye(len(w))
-        step = np.linalg.solve(hess, grad)
+        p = linear.sigmoid((bad @ w)[None, :] - (good @ w)[:, None])
+        grad = -(p.sum(axis=1) @ good - p.sum(axis=0) @ bad) / pairs + l2 * w
+        p *= 1 - p
+        cross = good.T @ (p @ bad)
+        hess = ((good * p.sum(axis=1)[:, None]).T @ good + (bad * p.sum(axis=0)[:, None]).T @ bad - cross - cross.T)
+        step = np.linalg.solve(hess / pairs + l2 * np.eye(len(w)), grad)
         w -= step * min(1.0, 5.0 / (np.abs(step).max() + 1e-12))
         if np.abs(step).max() < 1e-9:
             break
@@ -88,21 +88,50 @@ def bradley_terry(rows: np.ndarray, y: np.ndarray, pairs: int, l2: float, seed:
 
 
 def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None, target: str = "quality",
-        per_class: int = 3000, max_chars: int = 50_000, pairs: int = 40_000, l2: float = 1e-4, seed: int = 3) -> Model:
-    """``per_class``, ``max_chars`` and ``pairs`` bound the sample of the fit; nothing bounds what is scored."""
+        bucket_rows: int = 3000, l2: float = 1e-4) -> Model:
+    """Learns from every usable labelled row: all pairs inside a bucket (``linear.labelled``), the mean weights of the
+    buckets, and the cut and spread of all rows' scores."""
     usable = ~common.held_out(F.col("doc_id"), FOLDS, HELD_OUT) if usable is None else usable
-    texts, y, sizes = linear.labelled_sample(common.id_text(docs), labels, target, usable, per_class, max_chars)
-    if len(set(y.tolist())) < 2:
+    given = linear.labelled(common.id_text(docs), labels, target, usable, bucket_rows)
+    if not given.found.all():
         return Model(np.zeros(len(NAMES)), 0.0, 0.0)
-    rows = np.stack([features(t) for t in texts])
-    w = bradley_terry(rows, y, pairs, l2, seed)
-    raw = rows @ w
-    weight = np.where(y == 1, sizes[1] / (y == 1).sum(), sizes[0] / (y == 0).sum())
-    order = np.argsort(raw, kind="stable")
-    passed = np.cumsum(weight[order]) / weight.sum()
-    at = int(np.searchsorted(passed, sizes[0] / sizes.sum()))
-    cut = float((raw[order[min(at, len(raw) - 1)]] + raw[order[min(at + 1, len(raw) - 1)]]) / 2)
-    return Model(w, cut, float(2.0 / (raw.std() + 1e-9)))
+
+    def train(texts: list[str], y: np.ndarray) -> Iterator[pa.RecordBatch]:
+        rows = np.stack([features(t) for t in texts])
+        w = [bradley_terry(rows, y, l2)] if len(set(y.tolist())) == 2 else []
+        yield pa.RecordBatch.from_arrays([pa.array([*y.tolist(), *[-1] * len(w)], pa.int32()),
+                                          pa.array([*rows.tolist(), *(x.tolist() for x in w)], pa.list_(pa.float64()))],
+                                         ["y", "row"])
+
+    learnt = given.learn(train, "y int, row array<double>", "quality-rows")
+    # one row a bucket, added in their own order whatever the partitions
+    w = np.mean(sorted(r["row"] for r in learnt.where("y = -1").collect()), axis=0)
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, len(w))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows @ w)], ["y", "raw"])
+
+    raw = common.saved(learnt.where("y >= 0").mapInArrow(scored, "y int, raw double"), "quality-scores")
+    copied = (F.when(F.col("y") == 1, 1 / given.copies[1]).otherwise(1 / given.copies[0]))
+    spread = raw.agg((F.sum(F.col("raw") * F.col("raw") * copied) / F.sum(copied)).alias("square"),
+                     (F.sum(F.col("raw") * copied) / F.sum(copied)).alias("mean")).first()
+    std = float(np.sqrt(max(0.0, spread["square"] - spread["mean"] ** 2)))
+    return Model(w, _cut(raw, given), 2.0 / (std + 1e-9))
+
+
+def _cut(raw: DataFrame, given: linear.Labelled) -> float:
+    """Middle between the scores on both sides of the labels' share of class 0, each row counted once."""
+    a, b = given.copies[1], given.copies[0]
+    # a row of a class that is in r buckets weighs 1 / r; the other class is repeated to the same scale
+    times = F.when(F.col("y") == 1, b).otherwise(a)
+    all_ = raw if a == b == 1 else raw.select("raw", F.explode(F.sequence(F.lit(1), times)))
+    rank = int(given.found[0]) * a * b
+    low = linear.value_at(all_, "raw", rank - 1)
+    above = all_.agg(F.count_if(F.col("raw") <= low).alias("n"),
+                     F.min(F.when(F.col("raw") > low, F.col("raw"))).alias("next")).first()
+    high = low if above["n"] > rank or above["next"] is None else above["next"]
+    return (low + high) / 2
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

@@ -1,7 +1,7 @@
 """Quality rules: counted base rules, then a calibrated logistic regression on hashed word and character n-grams.
 
 The base counts follow their definitions over the whole text.  The method's verdict is the calibrated probability of
-label 1 against a fixed threshold.  Fit and calibration use a bounded labelled sample; scoring is one Arrow pass.
+label 1 against a fixed threshold.  Fit and calibration use every labelled row, in buckets; scoring is one Arrow pass.
 
 Defined results: a null text has no words and fails the base rules; an empty text likewise; repeated rows give one
 row each; without labels of both classes the method keeps what the base rules keep; an empty table gives an empty
@@ -100,24 +100,38 @@ def margin_of(weight: np.ndarray, slot: np.ndarray) -> float:
 
 
 def fit(docs: DataFrame, labels: DataFrame, usable=None, target: str = "quality", word_orders: tuple[int, ...] = (1, 2),
-        char_orders: tuple[int, ...] = (2, 3, 4), bits: int = 18, per_class: int = 800, max_chars: int = 20_000,
+        char_orders: tuple[int, ...] = (2, 3, 4), bits: int = 18, bucket_rows: int = 1600,
         min_rows: int = 10, l2: float = 1e-4, steps: int = 100, seed: int = 5) -> Model:
-    """``per_class`` and ``max_chars`` bound the sample of the fit; nothing bounds what is scored."""
+    """Learns from the whole text of every usable labelled row, ``bucket_rows`` or more in a bucket (``linear.labelled``):
+    the mean of the buckets' weights, calibrated on the held-back fifths of all buckets."""
     usable = F.lit(True) if usable is None else usable
-    texts, y, sizes = linear.labelled_sample(common.id_text(docs), labels, target, usable, per_class, max_chars)
+    given = linear.labelled(common.id_text(docs), labels, target, usable, bucket_rows)
     size = 1 << bits
     blank = Model(word_orders, char_orders, bits, np.zeros(size, np.float32), 0.0, 0.0, 0.0)
-    if len(set(y.tolist())) < 2:
+    if not given.found.all():
         # nothing to learn from: a probability over the threshold keeps what the base rules keep
         return Model(word_orders, char_orders, bits, blank.weight, 0.0, 0.0, 4.0)
-    rows = [root_shares(blank.features(t, ngrams.words(t))) for t in texts]
-    part = np.random.default_rng(seed).permutation(len(y)) % 5
-    prior = np.where(y == 1, sizes[1] / (y == 1).sum(), sizes[0] / (y == 0).sum())
-    train, held, a, c = np.flatnonzero(part != 0), part == 0, 1.0, 0.0
-    w, b = _fit_roots([rows[i] for i in train], y[train], size, min_rows, l2, steps)
-    if len(set(y[held].tolist())) == 2:
-        margin = np.array([w[rows[i][0]] @ rows[i][1] for i in np.flatnonzero(held)]) + b
-        a, c = linear.fit_platt(margin, y[held], prior[held])
+    plain = Model(word_orders, char_orders, bits, np.zeros(0, np.float32), 0.0, 0.0, 0.0)   # light: sent to every task
+
+    def learn(texts: list[str], y: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if len(set(y.tolist())) < 2:
+            return
+        rows = [root_shares(plain.features(t, ngrams.words(t))) for t in texts]
+        part = np.random.default_rng(seed).permutation(len(y)) % 5
+        # the held-back fifth is scored by a model without it; the weights come from all rows
+        held, train = np.flatnonzero(part == 0), np.flatnonzero(part != 0)
+        margin = np.empty(0)
+        if len(set(y[train].tolist())) == 2:
+            w, b = _fit_roots([rows[i] for i in train], y[train], size, min_rows, l2, steps)
+            margin = np.array([w[rows[i][0]] @ rows[i][1] for i in held]) + b
+        w, b = _fit_roots(rows, y, size, min_rows, l2, steps)
+        yield linear.parts(w, b, margin, y[held][:len(margin)])
+
+    learnt = given.learn(learn, linear.PARTS, "quality-parts")
+    w, b = linear.mean_weights(learnt.where("slot >= -1"), size)
+    margin, y, weight = linear.margin_counts(
+        learnt.where("slot = -2").select(F.col("value").alias("margin"), "y"), given.copies)
+    a, c = linear.fit_platt(margin, y, weight, count=float(weight.sum())) if len(set(y.tolist())) == 2 else (1.0, 0.0)
     return Model(word_orders, char_orders, bits, w.astype(np.float32), float(b), float(a), float(c))
 
 

@@ -1,8 +1,8 @@
 """Toxicity: linear classifier on character n-grams scaled by naive Bayes log-count ratios.
 
-Fit (driver, bounded sample): presence of hashed character n-grams; ``log((pos + 1) / P) - log((neg + 1) / N)`` scales
-every feature; L2 logistic regression on the scaled features; a held-back part of the sample gives the Platt
-calibration, weighted to the label shares of the whole label table.  Scoring (Arrow batches): whole texts, one sum of
+Fit (every labelled row, in buckets; the mean of the buckets' weights): presence of hashed character n-grams;
+``log((pos + 1) / P) - log((neg + 1) / N)`` scales every feature; L2 logistic regression on the scaled features; the
+margins of all rows, each by a model that did not learn from it, give the Platt calibration and the cut.  Scoring (Arrow batches): whole texts, one sum of
 weights over the distinct n-grams of each text.
 
 Defined results: a null or empty text has no word n-gram and gets the score of an empty text; repeated rows get equal
@@ -48,51 +48,63 @@ class Model:
 
 
 def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None, target: str = "toxic",
-        orders: tuple[int, ...] = (4, 5, 6), bits: int = 20, per_class: int = 1500, max_chars: int = 20_000,
+        orders: tuple[int, ...] = (4, 5, 6), bits: int = 20, bucket_rows: int = 2000,
         max_features: int = 4_000, min_rows: int = 3, min_z: float = 4.0, l2: float = 1e-3, seed: int = 11) -> Model:
-    """``per_class`` and ``max_chars`` bound the sample the driver fits on; nothing bounds what is scored.
+    """Learns from the whole text of every usable labelled row, ``bucket_rows`` or more in a bucket (``linear.labelled``).
 
-    Features are the slots whose log-count ratio is at least ``min_z`` standard errors from 0 (the best 200, if
-    fewer reach it), ``max_features`` at most."""
+    Features of a bucket are the slots whose log-count ratio is at least ``min_z`` standard errors from 0 (the best 200,
+    if fewer reach it), ``max_features`` at most."""
     usable = ~common.held_out(F.col("doc_id"), FOLDS, HELD_OUT) if usable is None else usable
-    texts, y, sizes = linear.labelled_sample(common.id_text(docs), labels, target, usable, per_class, max_chars)
+    given = linear.labelled(common.id_text(docs), labels, target, usable, bucket_rows)
     blank = Model(orders, bits, np.zeros(1 << bits, np.float32), 0.0, 0.0, 0.0)
-    if len(set(y.tolist())) < 2:
-        share = (sizes[1] + 1) / (sizes.sum() + 2)
+    if not given.found.all():
+        share = (given.sizes[1] + 1) / (given.sizes.sum() + 2)
         return Model(orders, bits, blank.weight, 0.0, 0.0, float(np.log(share / (1 - share))))
-    sets = [np.unique(blank.features(t)) for t in texts]
-    part = np.random.default_rng(seed).permutation(len(y)) % 5      # one fifth calibrates
-    prior = np.where(y == 1, sizes[1] / (y == 1).sum(), sizes[0] / (y == 0).sum())
-
-    def train(use: np.ndarray) -> tuple[np.ndarray, float]:
-        label, size = y[use], 1 << bits
-        neg, pos = np.zeros((2, size), np.float32)
-        for i in np.flatnonzero(use):
-            (pos if y[i] else neg)[sets[i]] += 1
-        n1, n0 = (label == 1).sum() + 2, (label == 0).sum() + 2
-        ratio = np.log((pos + 1) / n1) - np.log((neg + 1) / n0)
-        z = np.abs(ratio) / np.sqrt(1 / (pos + 1) + 1 / (neg + 1))
-        z[pos + neg < min_rows] = 0
-        keep = np.argsort(-z, kind="stable")[:max_features]
-        keep = keep[: max(int((z[keep] >= min_z).sum()), min(200, int((z[keep] > 0).sum())))]
-        at = np.full(size, -1, np.int32)
-        at[keep] = np.arange(len(keep))
-        small = linear.Rows.of([a[a >= 0] for a in (at[sets[i]] for i in np.flatnonzero(use))])
-        w, b = linear.fit_logistic(small, label, len(keep), l2, scale=ratio[keep], weight=prior[use])
-        full = np.zeros(size, np.float32)
-        full[keep] = w
-        return full, b
-
-    # out-of-fold margins give the calibration slope and the cut that 0.5 stands for
-    margin = np.zeros(len(y))
-    for k in range(5):
-        held = part == k
-        if len(set(y[~held].tolist())) == 2:
-            full, b = train(~held)
-            margin[held] = [full[sets[i]].sum(dtype=np.float64) + b for i in np.flatnonzero(held)]
-    a, _ = linear.fit_platt(margin, y, prior)
-    full, b = train(np.ones(len(y), bool))
-    return Model(orders, bits, full, float(b), float(a), float(-a * best_cut(margin, y, prior)))
+    found = given.found
+
+    def learn(texts: list[str], y: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if len(set(y.tolist())) < 2:
+            return
+        sets = [np.unique(ngrams.char_slots(t.lower(), orders, bits)) for t in texts]
+        part = np.random.default_rng(seed).permutation(len(y)) % 5
+        prior = np.where(y == 1, found[1] / (y == 1).sum(), found[0] / (y == 0).sum())
+
+        def train(use: np.ndarray) -> tuple[np.ndarray, float]:
+            label, size = y[use], 1 << bits
+            neg, pos = np.zeros((2, size), np.float32)
+            for i in np.flatnonzero(use):
+                (pos if y[i] else neg)[sets[i]] += 1
+            n1, n0 = (label == 1).sum() + 2, (label == 0).sum() + 2
+            some = np.flatnonzero(pos + neg >= min_rows)
+            p, n = pos[some], neg[some]
+            ratio = np.log((p + 1) / n1) - np.log((n + 1) / n0)
+            z = np.abs(ratio) / np.sqrt(1 / (p + 1) + 1 / (n + 1))
+            keep = np.argsort(-z, kind="stable")[:max_features]
+            keep = keep[: max(int((z[keep] >= min_z).sum()), min(200, int((z[keep] > 0).sum())))]
+            at = np.full(size, -1, np.int32)
+            at[some[keep]] = np.arange(len(keep))
+            small = linear.Rows.of([a[a >= 0] for a in (at[sets[i]] for i in np.flatnonzero(use))])
+            w, b = linear.fit_logistic(small, label, len(keep), l2, scale=ratio[keep], weight=prior[use])
+            full = np.zeros(size, np.float32)
+            full[some[keep]] = w
+            return full, b
+
+        # out-of-fold margins give the calibration slope and the cut that 0.5 stands for
+        margin = np.zeros(len(y))
+        for k in range(5):
+            held = part == k
+            if len(set(y[~held].tolist())) == 2:
+                full, b = train(~held)
+                margin[held] = [full[sets[i]].sum(dtype=np.float64) + b for i in np.flatnonzero(held)]
+        full, b = train(np.ones(len(y), bool))
+        yield linear.parts(full, b, margin, y)
+
+    learnt = given.learn(learn, linear.PARTS, "toxicity-parts")
+    full, b = linear.mean_weights(learnt.where("slot >= -1"), 1 << bits)
+    held = learnt.where("slot = -2").select(F.col("value").alias("margin"), "y")
+    margin, y, prior = linear.margin_counts(held, given.copies)
+    a, _ = linear.fit_platt(margin, y, prior, count=float(prior.sum()))
+    return Model(orders, bits, full.astype(np.float32), float(b), float(a), float(-a * best_cut(margin, y, prior)))
 
 
 def best_cut(margin: np.ndarray, y: np.ndarray, weight: np.ndarray) -> float:

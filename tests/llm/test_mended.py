@@ -7,7 +7,10 @@ import public_tokenizers
 import pytest
 import tiktoken
 
-from goalpost.llm import byte_bpe, ngram_join, queries, substring_dedup, toxicity
+from pyspark.sql import functions as F
+
+from goalpost.llm import (byte_bpe, linear, ngram_join, quality_rank, quality_rules, queries, substring_dedup,
+                          toxicity)
 
 #: Not expressible in SQL: compared with the tokenizer library, brute force or held-out accuracy in tests/llm.
 WITHOUT_SQL = {"op2_byte_bpe", "op3_quality_rank", "op4_substring_dedup", "op5_quotation_linking", "op6_toxicity",
@@ -86,3 +89,39 @@ def test_repeated_bits_hold_every_repeated_digest(spark):
     at = lambda x: (bits[(x & ((1 << substring_dedup.BITS) - 1)) >> 3] >> (x & 7)) & 1
     assert all(at(int(x)) for x in twice)
     assert sum(int(at(int(x))) for x in d[400:]) < 30 and bits.size == 1 << (substring_dedup.BITS - 3)
+
+
+def test_models_learn_from_texts_of_any_length(spark):
+    rng = np.random.default_rng(12)
+    plain, junk = ["river", "garden", "evening", "letter", "window", "teacher"], ["$$", "xx", "||", "buy", "7777", "!!"]
+    rows = [(i, " ".join(rng.choice(junk if i % 2 else plain, 14_000)), 1 - i % 2) for i in range(40)]
+    assert min(len(t) for _, t, _ in rows) > 30_000
+    rows = [(i, t * 2, y) for i, t, y in rows]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y, 1 - y) for i, _, y in rows], "doc_id long, quality int, toxic int")
+    good = {r.doc_id: r.predicted for r in quality_rank.score(docs, quality_rank.fit(docs, labels, F.lit(True))).collect()}
+    bad = {r.doc_id: r.predicted for r in toxicity.score(docs, toxicity.fit(docs, labels, F.lit(True))).collect()}
+    kept = {r.doc_id: r.probability > 0.5 for r in quality_rules.apply_rules(docs, quality_rules.fit(docs, labels)).collect()}
+    for i, _, y in rows:
+        assert (good[i], bad[i], kept[i]) == (y, 1 - y, y == 1)
+
+
+def test_every_labelled_row_is_in_a_bucket(spark):
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.concat(F.lit("t"), "id").alias("text"))
+    labels = spark.range(3500).select(F.col("id").alias("doc_id"), (F.col("id") % 100 == 0).cast("int").alias("toxic"))
+    given = linear.labelled(docs.union(docs.limit(50)), labels, "toxic", F.col("doc_id") % 5 != 0, 200)
+    assert given.found.tolist() == [2400, 0] and given.sizes.tolist() == [2800, 0]
+    given = linear.labelled(docs, labels, "toxic", F.lit(True), 200)
+    rows = given.rows.groupBy("doc_id", "y").agg(F.count_distinct("bucket").alias("n")).collect()
+    assert given.buckets == 15 and len(rows) == 3000 and given.copies == (1, 10)
+    assert all(r.n == given.copies[r.y] for r in rows)
+    seen = given.learn(lambda texts, y: iter([linear.parts(np.zeros(1), float(len(texts)), np.empty(0), y[:0])]),
+                       linear.PARTS, "seen").agg(F.sum("value")).first()[0]
+    assert seen == 2970 + 30 * 10
+
+
+def test_values_of_a_rank_are_exact(spark):
+    x = np.concatenate([np.random.default_rng(3).normal(size=2000), np.full(300, 0.25), [1e9]])
+    df = spark.createDataFrame([(float(v),) for v in x], "v double")
+    for k in (0, 1, 1200, 1300, 2299, 2300):
+        assert linear.value_at(df, "v", k) == np.sort(x)[k]
