@@ -83,18 +83,20 @@ def labelled(docs: DataFrame, labels: DataFrame, target: str, usable: Column, bu
 
 
 def margin_counts(margins: DataFrame, copies: tuple[int, int], step: float = 1 / 256) -> tuple[np.ndarray, ...]:
-    """Mean margin, label and weight of every (label, margin rounded down to ``step``) of all rows (margin, y)."""
+    """Margin, label and weight of every label and range of ``step`` of all rows (margin, y)."""
     rows = (margins.groupBy("y", F.floor(F.col("margin") / step).alias("at"))
-                   .agg(F.avg("margin").alias("margin"), F.count(F.lit(1)).alias("n")).orderBy("y", "at").collect())
+                   .agg(F.count(F.lit(1)).alias("n")).orderBy("y", "at").collect())
     y = np.array([r["y"] for r in rows], np.int64)
     weight = np.array([r["n"] for r in rows], np.float64) / np.where(y == 1, copies[1], copies[0])
-    return np.array([r["margin"] for r in rows], np.float64), y, weight
+    return np.array([(r["at"] + 0.5) * step for r in rows], np.float64), y, weight
 
 
 def mean_weights(parts: DataFrame, size: int) -> tuple[np.ndarray, float]:
     """Mean over buckets of the weights (slot, value) and of the bias (slot -1)."""
-    rows = parts.groupBy("slot").agg(F.sum("value").alias("value"), F.count(F.lit(1)).alias("n")).toPandas()
-    slot, value = rows["slot"].to_numpy(np.int64), rows["value"].to_numpy(np.float64)
+    unit = float(1 << 32)       # whole multiples of its inverse: their sum does not depend on the order of the rows
+    rows = (parts.groupBy("slot").agg(F.sum((F.col("value") * unit).cast("long")).alias("value"),
+                                      F.count(F.lit(1)).alias("n")).toPandas())
+    slot, value = rows["slot"].to_numpy(np.int64), rows["value"].to_numpy(np.float64) / unit
     bias = slot == -1
     models = float(rows["n"][bias].sum())
     full = np.zeros(size)

@@ -116,7 +116,7 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None, target
     copied = (F.when(F.col("y") == 1, 1 / given.copies[1]).otherwise(1 / given.copies[0]))
     spread = raw.agg((F.sum(F.col("raw") * F.col("raw") * copied) / F.sum(copied)).alias("square"),
                      (F.sum(F.col("raw") * copied) / F.sum(copied)).alias("mean")).first()
-    std = float(np.sqrt(max(0.0, spread["square"] - spread["mean"] ** 2)))
+    std = round(float(np.sqrt(max(0.0, spread["square"] - spread["mean"] ** 2))), 9)
     return Model(w, _cut(raw, given), 2.0 / (std + 1e-9))
 
 

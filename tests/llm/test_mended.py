@@ -9,7 +9,7 @@ import tiktoken
 
 from pyspark.sql import functions as F
 
-from goalpost.llm import (byte_bpe, linear, ngram_join, quality_rank, quality_rules, queries, substring_dedup,
+from goalpost.llm import (byte_bpe, linear, ngram_join, quality_rank, quality_rules, queries, secrets, substring_dedup,
                           toxicity)
 
 #: Not expressible in SQL: compared with the tokenizer library, brute force or held-out accuracy in tests/llm.
@@ -125,3 +125,27 @@ def test_values_of_a_rank_are_exact(spark):
     df = spark.createDataFrame([(float(v),) for v in x], "v double")
     for k in (0, 1, 1200, 1300, 2299, 2300):
         assert linear.value_at(df, "v", k) == np.sort(x)[k]
+
+
+def test_every_window_teaches_or_calibrates(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    key = lambda n: "".join(rng.choice(list("0123456789abcdef"), n))
+    word = lambda: "".join(rng.choice(list("aeioulnrst"), 18))
+    rows = [(i, f"my password = {key(24)} and {word()} or {word()} {word()}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    seen = secrets.windows_found(docs).groupBy("label").count().collect()
+    assert {r.label: r["count"] for r in seen} == {0: 1200, 1: 400}
+    held = []
+    counts = linear.margin_counts
+    monkeypatch.setattr(secrets.linear, "margin_counts", lambda rows, copies: held.append(counts(rows, copies)) or held[-1])
+    one, more = secrets.fit(docs), secrets.fit(docs.repartition(7), bucket_rows=300)
+    again = secrets.fit(docs, bucket_rows=300)
+    _, y, weight = held[0]
+    by_digest = sum(secrets._held(secrets.window(t, a, b), None) for _, t in rows
+                    for a, b, c in secrets.candidates(t, secrets.base_spans(t)) if not c)
+    assert weight[y == 0].sum() == by_digest > 200      # every held-back window calibrates, not a bounded few
+    assert again.threshold == more.threshold and np.array_equal(again.network.filters, more.network.filters)
+    for model in (one, more):
+        assert model.recall >= 0.99 and model.false_positives < 0.1
+    found = secrets.scan(docs, more)
+    assert found.agg(F.sum("n_assign"), F.count(F.lit(1))).first() == (400, 400)
