@@ -231,8 +231,9 @@ def _drain(spark: SparkSession) -> None:
         pass
 
 
-def compact(spark: SparkSession, out: str, before: str, files_per_day: int = 1) -> list[str]:
-    """Join the small batch folders of every ingestion date before ``before`` (ISO date) into ``files_per_day`` files.
+def compact(spark: SparkSession, out: str, before: str, files_per_day: int | None = None) -> list[str]:
+    """Join the small batch folders of every ingestion date before ``before`` (ISO date) into ``files_per_day`` files; if
+    that is not given, into one for each ``advisoryPartitionSizeInBytes`` of rows, so that no task holds a whole date.
 
     A date's rows are written to ``days``, then its name is noted in ``_closed`` (one new small file), then its batch
     folders go: readers (``read_accepted``) take a noted date from ``days`` and any other from its batch folders, so they
@@ -244,7 +245,8 @@ def compact(spark: SparkSession, out: str, before: str, files_per_day: int = 1)
         if d not in closed:
             rows = _scan(spark, f"{out}/accepted", fmt).where(F.col("dt_ingestao") == F.lit(d).cast("date"))
             rows = rows.select(*[c for c in ("message_id", "body", "value") if c in rows.columns], "dt_ingestao")
-            w = (rows.repartition(files_per_day).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            rows = rows.repartition(files_per_day) if files_per_day else rows.hint("rebalance")
+            w = (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                      .partitionBy("dt_ingestao"))
             w.text(f"{out}/days") if fmt == "json" else w.parquet(f"{out}/days")
             files.write_note(spark, f"{out}/_closed/{d}", d + "\n")

@@ -245,3 +245,22 @@ def test_a_valid_body_is_parsed_once(spark):
     df = spark.createDataFrame([(c,) for c in CASES], "body string")
     plan = ev.validate(df, src.REQUIRED)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.lower().count("parsejson") + plan.lower().count("parse_json") == 1
+
+
+def test_compaction_of_a_large_date_is_several_tasks(spark, scratch):
+    rows = spark.range(20_000).select(F.col("id").cast("string").alias("message_id"),
+                                      F.concat(F.lit('{"event_id":1,"user_id":2,"event_type":"'), F.sha2(F.col("id").cast("string"), 256),
+                                               F.lit('"}')).alias("body"))
+    rows.write.parquet(f"{scratch}/in")
+    stream = spark.readStream.schema(rows.schema).parquet(f"{scratch}/in")
+    ing.run_ingest(stream, f"{scratch}/out", f"{scratch}/ck", src.REQUIRED, fmt="json")
+    sizes = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.minPartitionSize")
+    for s in sizes:
+        spark.conf.set(s, "100k")
+    try:
+        ing.compact(spark, f"{scratch}/out", before="9999-12-31")
+    finally:
+        for s in sizes:
+            spark.conf.unset(s)
+    assert len(list(ing.files.data_files(spark, f"{scratch}/out/days"))) > 3
+    assert ing.read_accepted(spark, f"{scratch}/out").distinct().count() == 20_000
