@@ -221,9 +221,9 @@ def silver_publish(spark, d):
     path, geo = fresh_path(spark, "silver-alunos"), chain.silver_directory(spark, d)
     refused = False
     for source in (analogue.micro(spark, d), analogue.dirty_micro(spark, d)):
-        df, rules = silver.micro(source, geo)
+        df, rules = silver.micro(source, geo, by_period=True)
         try:
-            publish_layer(df, path, "ano", lambda rows, rules=rules: q.check("silver_alunos", rows, rules))
+            publish_layer(df, path, "ano", lambda rows, rules=rules: q.check("silver_alunos", rows, rules), cluster=False)
         except q.QualityError:
             refused = True
     return read_layer(spark, path).withColumn("recusada", F.lit(refused))

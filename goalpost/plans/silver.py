@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from goalpost.functions.codes import ALFABETIZADO, PREENCHIMENTO_CADERNO, PRESENCA, REDE, SERIE, decode_all
 from goalpost.operators import quality as q
+from goalpost.operators.aggregate import dedup_by_period
 from goalpost.operators.joins import lookup
 
 @dataclass(frozen=True)
@@ -88,12 +89,15 @@ def targets(bronze: DataFrame, spec: TargetSpec) -> tuple[DataFrame, list[q.Rule
     return df, rules
 
 
-def micro(bronze: DataFrame, directory: DataFrame) -> tuple[DataFrame, list[q.Rule]]:
-    """C5 (``alunos``): dedup, five decodes, directory lookup, five rules."""
+def micro(bronze: DataFrame, directory: DataFrame, by_period: bool = False) -> tuple[DataFrame, list[q.Rule]]:
+    """C5 (``alunos``): dedup, five decodes, directory lookup, five rules.
+
+    ``by_period``: the table is written by ``ano`` next, and its rows are brought together for that as they are deduped."""
     geo = directory.select("id_municipio", "nome", "sigla_uf")
     books = {"rede": REDE, "serie": SERIE, "presenca": PRESENCA,
              "preenchimento_caderno": PREENCHIMENTO_CADERNO, "alfabetizado": ALFABETIZADO}
-    df = lookup(bronze.dropDuplicates().withColumns(decode_all(books)), geo, "id_municipio", "left")
+    rows = dedup_by_period(bronze, "ano") if by_period else bronze.dropDuplicates()
+    df = lookup(rows.withColumns(decode_all(books)), geo, "id_municipio", "left")
     return df, [
         q.nulls("null key", ["ano", "id_municipio", "id_aluno"]),
         q.nulls("null required field", ["serie", "rede", "presenca", "preenchimento_caderno", "alfabetizado"]),

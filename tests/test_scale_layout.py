@@ -6,9 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from goalpost.operators import quality as q
+from goalpost.operators.aggregate import dedup_by_period
 from goalpost.operators.joins import hot_keys, lookup, salted_lookup
 from goalpost.plans import analogue, rollups
+from goalpost.sources import files
 from goalpost.sources.layers import read_files, read_layer, write_layer
+from tests.conftest import SF_MID
 from tests.test_plans import nodes
 
 SF = "/root/testdata/sf0.001"
@@ -155,3 +158,36 @@ def test_empty_folders_are_an_error_on_any_file_system(spark, scratch):
     for path in (f"{scratch}/empty", f"file:{scratch}/empty", f"{scratch}/missing"):
         with pytest.raises(FileNotFoundError):
             read_files(spark, path)
+
+
+def test_mixed_layout_splits_a_large_year(spark, scratch, monkeypatch):
+    from goalpost.plans import registry
+    place = {}
+    read = registry.read_files
+    monkeypatch.setattr(registry, "read_files", lambda s, path, cols: place.update(path=path) or read(s, path, cols))
+    spark.read.parquet(f"{SF_MID}/lineitem.parquet").repartition(8).write.parquet(f"{scratch}/lineitem.parquet")
+    sizes = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.minPartitionSize",
+             "spark.sql.files.openCostInBytes", "spark.sql.files.maxPartitionBytes")
+    for s in sizes:
+        spark.conf.set(s, "20k")
+    try:
+        rows = registry.QUERIES["mixed_layout"](spark, scratch)
+        assert rows.count() == spark.read.parquet(f"{SF_MID}/lineitem.parquet").count()
+    finally:
+        for s in sizes:
+            spark.conf.unset(s)
+    names = list(files.data_files(spark, f"{place['path']}/lote=2"))
+    assert min(sum(n.startswith(f"dir={y}/") for n in names) for y in (1997, 1998)) > 1
+
+
+def test_publishing_micro_has_one_exchange_of_its_rows(spark):
+    from goalpost.plans import chain, silver
+    source, geo = analogue.dirty_micro(spark, SF_MID), chain.silver_directory(spark, SF_MID)
+    df = silver.micro(source, geo, by_period=True)[0]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION" in plan and plan.count("hashpartitioning(__piece") <= 1
+    assert not [x for x in plan.split("\n") if "hashpartitioning(ano" in x]
+    plain = silver.micro(source, geo)[0]
+    assert df.exceptAll(plain).count() == plain.exceptAll(df).count() == 0
+    zero = spark.createDataFrame([(1996, 0.0), (1996, -0.0), (None, float("nan")), (None, float("nan"))], "ano int, v double")
+    assert dedup_by_period(zero, "ano", task_rows=1).count() == 2
