@@ -370,7 +370,7 @@ def mixed_layout(spark, d):
     path, m = fresh_path(spark, "mixed"), analogue.micro(spark, d).select("ano", "id_aluno", "proficiencia")
     write_layer(m.where(F.col("ano") <= 1996), path, "ano")
     late = m.where((F.col("ano") > 1996) & (F.col("ano") <= 1998)).withColumn("origem", F.lit("arquivo"))
-    late.withColumn("dir", F.col("ano")).repartition("dir").write.partitionBy("dir").parquet(f"{path}/lote=2")
+    write_layer(late.withColumn("dir", F.col("ano")), f"{path}/lote=2", "dir")
     m.where(F.col("ano") > 1998).write.parquet(f"{path}/resto")
     return read_files(spark, path, ["ano", "lote"])
 
