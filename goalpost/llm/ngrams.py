@@ -8,13 +8,15 @@ import numpy as np
 import pandas as pd
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_SPACES = re.compile(r"[\x20\x09-\x0D]+")
 # fixed odd multipliers of the rolling hashes
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
 
 def words(text: str) -> list[str]:
+    # without these, ``split`` takes the same white space
+    if text.isascii() and not any(c in text for c in "\x1c\x1d\x1e\x1f"):
+        return text.split()
     return _WORD.findall(text)
 
 
@@ -44,8 +46,11 @@ def _rolled(units: np.ndarray, order: int) -> np.ndarray:
 
 def char_slots(text: str, orders: tuple[int, ...], bits: int) -> np.ndarray:
     """Slot of every character n-gram, repeats included; runs of white space count as one blank."""
-    s = " " + _SPACES.sub(" ", text).strip(" ") + " "
-    units = np.frombuffer(s.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    units = np.frombuffer(f" {text} ".encode("utf-32-le", "surrogatepass"), np.uint32)
+    blank = (units == 0x20) | (units - np.uint32(9) < 5)
+    kept = np.flatnonzero(~(blank[1:] & blank[:-1])) + 1
+    # a text without words keeps both its blanks
+    units = np.where(blank, np.uint32(0x20), units)[np.append(0, kept) if len(kept) else [0, 0]].astype(np.uint64)
     units += np.uint64(1)
     return np.concatenate([_slots(_rolled(units, k), k, bits) for k in orders])
 

@@ -41,7 +41,9 @@ def repeated_words(tokens: list[str]) -> int:
     # a window's class in three doublings of exact pair numbering: 2, 4, then 8 words
     for k in (1, 2, 4):
         pair = ids[:-k] * (int(ids.max()) + 1) + ids[k:]
-        ids = np.unique(pair, return_inverse=True)[1].astype(np.int64)
+        found, ids = np.unique(pair, return_inverse=True)
+        if len(found) == len(pair):
+            return 0        # no shorter window is held twice, so no longer one
     twice = np.bincount(ids)[ids] > 1
     cover = np.zeros(len(tokens) + 1, np.int64)
     at = np.flatnonzero(twice)
@@ -135,6 +137,55 @@ def fit(docs: DataFrame, labels: DataFrame, usable=None, target: str = "quality"
     return Model(word_orders, char_orders, bits, w.astype(np.float32), float(b), float(a), float(c))
 
 
+def _segments(of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers that occur, and where each one's entries start once they are sorted."""
+    n = np.bincount(of)
+    found = np.flatnonzero(n)
+    return found, (np.cumsum(n) - n)[found]
+
+
+class _Table:
+    """Rows of (columns, values) for products from both sides: the columns that an eighth of the rows hold as a dense block,
+    the others' entries once by row and once by column."""
+
+    def __init__(self, rows, width: int):
+        self.n, self.width = len(rows), width
+        col, value = np.concatenate([s for s, _ in rows]).astype(np.intp), np.concatenate([v for _, v in rows])
+        row = np.repeat(np.arange(self.n), [len(s) for s, _ in rows])
+        dense = np.bincount(col, minlength=width) >= max(1, self.n / 8)
+        self.hot, place = np.flatnonzero(dense), np.cumsum(dense) - 1
+        at = dense[col]
+        self.block = np.zeros((self.n, len(self.hot)), np.float32)
+        self.block[row[at], place[col[at]]] = value[at]
+        self.col, self.value, row = col[~at], value[~at], row[~at]
+        order = np.argsort(self.col * self.n + row)
+        self.row_by_col, self.value_by_col = row[order], self.value[order]
+        # sums of segments: only of rows and columns that have entries
+        (self.rows, self.row_start), (self.cols, self.col_start) = _segments(row), _segments(self.col)
+        self.held = np.empty(len(self.col), np.float32)
+
+    def _sums(self, weight, at, value, start):
+        np.take(weight, at, out=self.held, mode="clip")
+        self.held *= value
+        return np.add.reduceat(self.held, start)
+
+    def sums(self, w: np.ndarray) -> np.ndarray:
+        """The sum of value times weight of every row."""
+        out = (self.block @ w[self.hot]).astype(np.float64)
+        if len(self.col):
+            out[self.rows] += self._sums(w, self.col, self.value, self.row_start)
+        return out
+
+    def spread(self, err: np.ndarray) -> np.ndarray:
+        """The sum of value times the rows' numbers of every column."""
+        err = err.astype(np.float32)
+        out = np.zeros(self.width)
+        out[self.hot] = err @ self.block
+        if len(self.col):
+            out[self.cols] = self._sums(err, self.row_by_col, self.value_by_col, self.col_start)
+        return out
+
+
 def _fit_roots(rows, y, size, min_rows, l2, steps):
     """Class-balanced logistic regression over the slots that ``min_rows`` texts hold (at least two)."""
     count = np.zeros(size, np.int32)
@@ -143,16 +194,12 @@ def _fit_roots(rows, y, size, min_rows, l2, steps):
     used = np.flatnonzero(count >= max(2, min(min_rows, len(rows) // 10)))
     at = np.full(size, -1, np.int32)
     at[used] = np.arange(len(used))
-    rows = [(at[s][at[s] >= 0], 10 * v[at[s] >= 0]) for s, v in rows]
-    lens = np.array([len(s) for s, _ in rows])
-    slot, value = np.concatenate([s for s, _ in rows]), np.concatenate([v for _, v in rows])
-    start = np.concatenate([[0], np.cumsum(lens)])
+    table = _Table([(at[s][at[s] >= 0], 10 * v[at[s] >= 0]) for s, v in rows], len(used))
     weight = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum()))
     w, b, m, v = np.zeros(len(used), np.float32), 0.0, np.zeros(len(used) + 1), np.zeros(len(used) + 1)
     for t in range(1, steps + 1):
-        total = np.concatenate([[0.0], np.cumsum(w[slot] * value, dtype=np.float64)])
-        err = (linear.sigmoid(total[start[1:]] - total[start[:-1]] + b) - y) * weight
-        g = np.append(np.bincount(slot, weights=np.repeat(err.astype(np.float32), lens) * value, minlength=len(used)) + l2 * w, err.sum())
+        err = (linear.sigmoid(table.sums(w) + b) - y) * weight
+        g = np.append(table.spread(err) + l2 * w, err.sum())
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         step = 0.03 * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.99 ** t)) + 1e-8)
         w -= step[:-1].astype(np.float32)

@@ -1,6 +1,7 @@
 """Faults found by review, each with the case that showed it; and the list of queries without SQL."""
 
 import base64
+import re
 
 import numpy as np
 import public_tokenizers
@@ -9,7 +10,7 @@ import tiktoken
 
 from pyspark.sql import functions as F
 
-from goalpost.llm import (byte_bpe, linear, ngram_join, quality_rank, quality_rules, queries, secrets, substring_dedup,
+from goalpost.llm import (byte_bpe, linear, ngram_join, ngrams, quality_rank, quality_rules, queries, secrets, substring_dedup,
                           toxicity)
 
 #: Not expressible in SQL: compared with the tokenizer library, brute force or held-out accuracy in tests/llm.
@@ -149,3 +150,23 @@ def test_every_window_teaches_or_calibrates(spark, monkeypatch):
         assert model.recall >= 0.99 and model.false_positives < 0.1
     found = secrets.scan(docs, more)
     assert found.agg(F.sum("n_assign"), F.count(F.lit(1))).first() == (400, 400)
+
+
+def test_the_table_of_a_fit_multiplies_like_a_matrix():
+    rng = np.random.default_rng(15)
+    for n, width, rate in ((40, 30, 0.3), (300, 900, 0.01), (3, 5, 0.0), (64, 50, 1.0)):
+        full = (rng.random((n, width)) < rate * rng.random(width) * 2) * rng.random((n, width)).astype(np.float32)
+        rows = [(np.flatnonzero(r), r[np.flatnonzero(r)]) for r in full]
+        table, w, err = quality_rules._Table(rows, width), rng.normal(size=width).astype(np.float32), rng.normal(size=n)
+        assert np.allclose(table.sums(w), full @ w, atol=1e-4) and np.allclose(table.spread(err), err @ full, atol=1e-4)
+
+
+def test_words_and_character_slots_follow_their_white_space():
+    rng = np.random.default_rng(16)
+    letters = [*map(chr, range(128)), *" " * 40, "\x85", "\xa0", "\u2003", "é", "漢"]
+    texts = ["", " ", "\t\n", "a", " a ", "a\x1cb"] + ["".join(rng.choice(letters[:k], 25)) for k in (28, 128, 168, 173) * 200]
+    for t in texts:
+        assert ngrams.words(t) == re.findall(r"[^\x20\x09-\x0D]+", t)
+        plain = " " + " ".join(re.findall(r"[^\x20\x09-\x0D]+", t)) + " "
+        assert ngrams.char_slots(t, (2, 3, 4), 18).tolist() == ngrams.char_slots(plain, (2, 3, 4), 18).tolist()
+        assert len(ngrams.char_slots(t, (1,), 18)) == len(plain)
