@@ -131,21 +131,26 @@ def chunks(docs: DataFrame, bits: np.ndarray | None = None) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, row long, start int, end int, d1 long, d2 long")
 
 
-def contexts(texts: DataFrame, spans: DataFrame, before: int, after: int) -> DataFrame:
-    """row, start, end, doc_id and the text before and after every distinct span (row, start, end)."""
-    spans = saved(spans.distinct().groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("spans")), "spans")
+def contexts(texts: DataFrame, runs: DataFrame, before: int, after: int) -> DataFrame:
+    """Written: row, start, end, o_row, shift of every run, and row, start, end of every place of an origin once (the others
+    null), with doc_id and the text before and after it."""
+    origins = runs.select(F.col("o_row").alias("row"), (F.col("start") - F.col("shift")).alias("start"),
+                          (F.col("end") - F.col("shift")).alias("end")).distinct()
+    places = runs.select("row", "start", "end", "o_row", "shift").unionByName(origins, allowMissingColumns=True)
+    spans = saved(places.groupBy("row").agg(F.collect_list(F.struct("start", "end", "o_row", "shift")).alias("spans")),
+                  "spans")
     texts = texts.join(broadcast_if_small(spans.select("row")), "row", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["row", "start", "end", "doc_id", "left", "right"]
-        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.string(), pa.string()]
+        names = ["row", "start", "end", "o_row", "shift", "doc_id", "left", "right"]
+        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.string(), pa.string()]
         for batch in batches:
             out = []
             for row, doc_id, text, found in zip(*batch.columns, strict=True):
                 row, doc_id, t = row.as_py(), doc_id.as_py(), text.as_py()
-                for span in found:
-                    a, b = span["start"].as_py(), span["end"].as_py()
-                    out.append((row, a, b, doc_id, t[max(0, a - before):a], t[b:b + after]))
+                for span in found.as_py():
+                    a, b = span["start"], span["end"]
+                    out.append((row, a, b, span["o_row"], span["shift"], doc_id, t[max(0, a - before):a], t[b:b + after]))
                     if len(out) == 4096:
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
@@ -154,8 +159,9 @@ def contexts(texts: DataFrame, spans: DataFrame, before: int, after: int) -> Dat
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
 
-    return texts.join(spans, "row").select("row", "doc_id", "text", "spans").mapInArrow(
-        run, "row long, start int, end int, doc_id long, left string, right string")
+    return saved(texts.join(spans, "row").select("row", "doc_id", "text", "spans").mapInArrow(
+        run, "row long, start int, end int, o_row long, shift int, doc_id long, left string, right string"),
+        "contexts", "zstd")
 
 
 def common(a: str, b: str) -> int:
@@ -240,13 +246,13 @@ def _later(texts: DataFrame, min_chars: int, within: bool) -> DataFrame:
     # adjacent chunks whose first occurrences are adjacent too lie on one line (row, origin row, shift)
     line = ["row", "o_row", "shift"]
     runs = saved(_joined(later, line), "runs")
-    origin = [F.col("o_row").alias("row"), (F.col("start") - F.col("shift")).alias("start"),
-              (F.col("end") - F.col("shift")).alias("end")]
-    around = saved(contexts(texts, runs.select("row", "start", "end").unionAll(runs.select(*origin)),
-                            max(BEFORE, min_chars), max(AFTER, min_chars)), "contexts")
-    theirs = around.select(*(F.col(c).alias(f"o_{c}") for c in around.columns))
-    both = (runs.withColumn("o_start", F.col("start") - F.col("shift")).withColumn("o_end", F.col("end") - F.col("shift"))
-                .join(around, ["row", "start", "end"]).join(theirs, ["o_row", "o_start", "o_end"]))
+    # one exchange of the runs with their texts, to those of their origins, of which each place is there once
+    around = contexts(texts, runs, max(BEFORE, min_chars), max(AFTER, min_chars))
+    own = around.where("shift is not null").select(
+        "*", (F.col("start") - F.col("shift")).alias("o_start"), (F.col("end") - F.col("shift")).alias("o_end"))
+    theirs = around.where("shift is null").select(
+        F.col("row").alias("o_row"), *(F.col(c).alias(f"o_{c}") for c in ("start", "end", "doc_id", "left", "right")))
+    both = own.join(theirs, ["o_row", "o_start", "o_end"])
     found = _joined(_extended(both), ["doc_id", "o_doc_id", *line], F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     return saved(_unexplained(found.where(F.col("end") - F.col("start") >= min_chars)), "passages")
 
@@ -255,7 +261,7 @@ def repeats(docs: DataFrame, min_chars: int = MIN_CHARS, within: bool = False) -
     """doc_id, start, end, n_chars, first_doc_id, first_start, first of every occurrence of a repeated passage.
 
     ``within`` also counts passages whose occurrences all lie in one row."""
-    found = _later(saved(id_text(docs).withColumn("row", F.monotonically_increasing_id()), "texts"), min_chars, within)
+    found = _later(saved(id_text(docs).withColumn("row", F.monotonically_increasing_id()), "texts", "zstd"), min_chars, within)
     origin = [(F.col("start") - F.col("shift")).alias("start"), (F.col("end") - F.col("shift")).alias("end")]
     first = _joined(found.select(F.col("o_doc_id").alias("doc_id"), F.col("o_row").alias("row"), *origin).distinct(),
                     ["doc_id", "row"])
@@ -270,7 +276,7 @@ def remove(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """``docs`` with every later occurrence of a repeated passage cut out, row by row: also among rows that repeat an id
     or have none, the first occurrence stays."""
     rows = saved(docs.select(F.struct(*docs.columns).alias("doc")).withColumn("row", F.monotonically_increasing_id()),
-                 "rows")
+                 "rows", "zstd")
     later = _later(rows.select("doc.doc_id", "doc.text", "row"), min_chars, within=True)
     spans = (_joined(later.select("row", "start", "end"), ["row"]).groupBy("row")
              .agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("cut_spans")))

@@ -170,3 +170,15 @@ def test_words_and_character_slots_follow_their_white_space():
         plain = " " + " ".join(re.findall(r"[^\x20\x09-\x0D]+", t)) + " "
         assert ngrams.char_slots(t, (2, 3, 4), 18).tolist() == ngrams.char_slots(plain, (2, 3, 4), 18).tolist()
         assert len(ngrams.char_slots(t, (1,), 18)) == len(plain)
+
+
+def test_texts_around_runs_are_written_once_a_run_and_once_a_place_of_an_origin(spark):
+    texts = spark.createDataFrame([(7, "0123456789abcdefghij", 0), (8, "--56789abc..", 1), (9, None, 2), (5, "5678956789", 3)],
+                                  "doc_id long, text string, row long")
+    runs = [(1, 0, -3, 2, 7), (3, 0, -5, 0, 5), (3, 0, 0, 5, 10), (1, 0, -3, 7, 10)]      # two of one place, two of their own
+    got = [tuple(r) for r in substring_dedup.contexts(
+        texts, spark.createDataFrame(runs, "row long, o_row long, shift int, start int, end int"), 3, 2).collect()]
+    own = [(1, 2, 7, 0, -3, 8, "--", "ab"), (3, 0, 5, 0, -5, 5, "", "56"), (3, 5, 10, 0, 0, 5, "789", ""),
+           (1, 7, 10, 0, -3, 8, "789", "..")]
+    origins = [(0, 5, 10, None, None, 7, "234", "ab"), (0, 10, 13, None, None, 7, "789", "de")]
+    assert sorted(got, key=str) == sorted(own + origins, key=str)
