@@ -21,9 +21,8 @@ import hashlib
 import json
 import os
 import re
-from array import array
 from collections.abc import Iterator
-from itertools import compress, repeat
+from itertools import chain, compress, islice, pairwise, repeat
 from operator import is_
 
 import numpy as np
@@ -82,17 +81,24 @@ class ByteLevel:
         """Ids of every text; None where they do not spell it."""
         return _by_match([self._split(t) for t in texts], self._known, self._library)
 
-    def _library(self, matches: list[str]) -> list[list[int] | None]:
+    def _library(self, matches: list[str]) -> list[bytes]:
         if self.ranked and self.exact:
-            return [self._rank.encode_ordinary(m) for m in matches]
+            return _packed([self._rank.encode_ordinary(m) for m in matches])
         out = [e.ids for e in self._model.encode_batch_fast(matches, add_special_tokens=False)]
-        return out if self.exact else [ids if _spells(ids, self.tokens, m) else None for ids, m in zip(out, matches, strict=True)]
+        return _packed(out if self.exact else [ids if _spells(ids, self.tokens, m) else [] for ids, m in zip(out, matches, strict=True)])
 
 
 def _spells(ids: list[int], tokens: list[bytes], text: str) -> bool:
     return b"".join(map(tokens.__getitem__, ids)) == text.encode("utf-8", "surrogatepass")
 
 
+def _packed(ids: list[list[int]]) -> list[bytes]:
+    """Each list as the bytes of its int32 numbers."""
+    raw = np.fromiter(chain.from_iterable(ids), np.int32).tobytes()
+    end = 4 * np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))
+    return [raw[a:b] for a, b in pairwise([0, *end.tolist()])]
+
+
 class Pieces:
     """Ids and byte strings of a sentencepiece model.  Where no piece holds a space after another character, the text is
     encoded by runs of spaces and what follows them, which the model never joins."""
@@ -104,6 +110,7 @@ class Pieces:
         pieces = [model.id_to_piece(i) for i in range(n)]
         self.tokens = [bytes([int(p[3:-1], 16)]) if model.is_byte(i) else p.replace("▁", " ").encode()
                        for i, p in enumerate(pieces)]
+        self._length = np.array([len(t) for t in self.tokens], np.int64)
         self.space = model.piece_to_id("▁")
         self.by_run = (not any(re.search("[^▁]▁", p) for p in pieces)
                        and "".join(model.encode(" a  b ", out_type=str)) == "▁▁a▁▁b▁")
@@ -123,42 +130,60 @@ class Pieces:
     def encode(self, texts: list[str]) -> list[np.ndarray | None]:
         """Ids of every text, before which the model puts a space; None where they do not spell the space and the text."""
         if self.by_run:
-            return _by_match([_RUN.findall(" " + t) for t in texts], self._known, self._library)
+            return _by_match([_runs(t) for t in texts], self._known, self._library)
         return [np.array(ids, np.int32) if _spells(ids, self.tokens, " " + t) else None
                 for ids, t in zip(self._model.encode(texts, num_threads=1), texts, strict=True)]
 
-    def _library(self, runs: list[str]) -> list[list[int] | None]:
+    def _library(self, runs: list[str]) -> list[bytes]:
         # the model puts a run's first space back; a lone space would be no text
-        out = [ids or [self.space] for ids in self._model.encode([r[1:] for r in runs], num_threads=1)]
-        return [ids if _spells(ids, self.tokens, r) else None for ids, r in zip(out, runs, strict=True)]
+        out = [ids or [self.space] for ids in self._model.encode(runs, num_threads=1)]
+        packed = _packed(out)
+        flat = np.frombuffer(b"".join(packed), np.int32)
+        start = np.cumsum([0, *map(len, out[:-1])])
+        text = " ".join(["", *runs]).encode("utf-8", "surrogatepass")
+        size = [1 + len(r.encode("utf-8", "surrogatepass")) for r in runs]
+        # pieces as long as their runs that spell all runs together spell each
+        if (np.array_equal(np.add.reduceat(self._length[flat], start), size)
+                and b"".join(map(self.tokens.__getitem__, flat.tolist())) == text):
+            return packed
+        return [p if _spells(ids, self.tokens, " " + r) else b"" for p, ids, r in zip(packed, out, runs, strict=True)]
+
 
+_RUN, _LOOSE = re.compile(" *[^ ]+| +"), re.compile(r" \s")
 
-_RUN = re.compile(" *[^ ]+| +")
 
+def _runs(text: str) -> list[str]:
+    """Runs of spaces and what follows them of a space and the text, each without its first space."""
+    if "  " in text or text.startswith(" ") or text.endswith(" "):
+        return [r[1:] for r in _RUN.findall(" " + text)]
+    return text.split(" ")
 
-def _by_match(split: list[list[str]], known: dict[str, bytes], library) -> list[np.ndarray | None]:
+
+def _by_match(split: list[list[str]], known: dict[str, bytes], library, most: int = REMEMBERED) -> list[np.ndarray | None]:
     """Ids of the matches of each text, None if the ids of one of them do not spell it (so each is compared once, when the
-    library encodes it); ``known`` remembers a bounded number of short ones."""
-    if len(known) > REMEMBERED:
-        known.clear()
+    library encodes it); ``known`` remembers about ``most`` short ones, and forgets the older half when it is full."""
+    if len(known) > most:
+        for m in list(islice(known, len(known) // 2)):
+            del known[m]
     got = [list(map(known.get, matches)) for matches in split]
     gaps = [(i, list(compress(range(len(g)), map(is_, g, repeat(None))))) for i, g in enumerate(got) if None in g]
     new = list({split[i][k] for i, places in gaps for k in places})
-    for at in range(0, len(new), 4096):
-        part = new[at:at + 4096]
+    unspelled = []
+    for at in range(0, len(new), 512):        # few lists at once: each thousand costs a garbage collection
+        part = new[at:at + 512]
         # b"" stands for a match that is not spelled: every other match has a token
-        known.update((m, b"" if ids is None else array("i", ids).tobytes())
-                     for m, ids in zip(part, library(part), strict=True))
+        ids = library(part)
+        known.update(zip(part, ids, strict=True))
+        if not all(ids):
+            unspelled += [m for m, i in zip(part, ids, strict=True) if not i]
     for i, places in gaps:
         matches, found = split[i], got[i]
         for k in places:
             found[k] = known[matches[k]]
     # a match that is not spelled is not remembered: only texts with new matches can hold one
-    unspelled = any(not known[m] for m in new)
     bad = {i for i, places in gaps if not all(got[i][k] for k in places)} if unspelled else ()
-    for m in new:
-        if len(m) > LONGEST or not known[m]:
-            del known[m]
+    for m in {*unspelled, *(m for m in new if len(m) > LONGEST)}:
+        del known[m]
     return [None if i in bad else np.frombuffer(b"".join(g), np.int32) for i, g in enumerate(got)]
 
 
@@ -217,15 +242,38 @@ class Aligner:
             self._length_a, self._length_b = (np.array([len(t) for t in s.tokens], np.int64) for s in (self.a, self.b))
             self._words = [b"%d%s" % (i, end) for side, ends in ((self.a, (b",", b"|")), (self.b, (b",", b";")))
                            for i in range(len(side.tokens)) for end in ends]
-            self._b_words = 2 * len(self.a.tokens)
+            self._b_words, self._known = 2 * len(self.a.tokens), {}
         return self
 
     def tokens(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Both id arrays of every text; empty if either side's bytes are not those of the space and the text."""
-        none = np.empty(0, np.int32), np.empty(0, np.int32)
-        texts = [t or "" for t in texts]
-        both = zip(texts, self.a.encode([" " + t for t in texts]), self.b.encode(texts), strict=True)
-        return [(a, b) if t and a is not None and b is not None else none for t, a, b in both]
+        out = [(np.empty(0, np.int32),) * 2] * len(texts)
+        # where no white space follows a space, no match of the pattern reaches over a run's first space
+        by_run = self.b.by_run and self.a.exact and self.a.pattern == WORD_PATTERN
+        tight = [i for i, t in enumerate(texts) if t and by_run and not _LOOSE.search(f" {t} ")]
+        # one table instead of two, so it may hold as much as both
+        found = _by_match([texts[i].split(" ") for i in tight], self._known, self._library, 2 * REMEMBERED)
+        for i, ids in zip(tight, found, strict=True):
+            if ids is not None:
+                out[i] = ids[ids >= 0], ~ids[ids < 0]
+        there = set(tight)
+        loose = [i for i, t in enumerate(texts) if t and i not in there]
+        for i, a, b in zip(loose, self.a.encode([" " + texts[i] for i in loose]), self.b.encode([texts[i] for i in loose]),
+                           strict=True):
+            if a is not None and b is not None:
+                out[i] = a, b
+        return out
+
+    def _library(self, runs: list[str]) -> list[bytes]:
+        """The ids of a and the complements of those of b of every run (without its first space), b"" if it is not spelled."""
+        of_a = b"".join(self.a._library(self.a._split(" ".join(["", *runs]))))
+        end = np.cumsum([1 + len(r.encode("utf-8", "surrogatepass")) for r in runs])
+        cut_a = 4 * (np.searchsorted(np.cumsum(self._length_a[np.frombuffer(of_a, np.int32)]), end) + 1)
+        of_b = self.b._library(runs)
+        cut_b = np.cumsum(np.fromiter(map(len, of_b), np.int64, len(of_b)))
+        other = (~np.frombuffer(b"".join(of_b), np.int32)).tobytes()
+        return [of_a[a:b] + other[c:d] if d > c else b""
+                for (a, b), (c, d) in zip(pairwise([0, *cut_a.tolist()]), pairwise([0, *cut_b.tolist()]), strict=True)]
 
     def align(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(first token of each group in a, and in b; token of a and token of b of each link)."""
@@ -233,8 +281,8 @@ class Aligner:
             return (np.empty(0, np.int64),) * 4
         ends_a, ends_b = np.cumsum(self._length_a[a]), np.cumsum(self._length_b[b])
         runs, groups = diagonal_runs(ends_a, ends_b)
-        i, j, n = np.array(runs, np.int64).reshape(-1, 3).T
-        gi, gj, x, y = np.array(groups, np.int64).reshape(-1, 4).T
+        i, j, n = np.fromiter(chain.from_iterable(runs), np.int64).reshape(-1, 3).T
+        gi, gj, x, y = np.fromiter(chain.from_iterable(groups), np.int64).reshape(-1, 4).T
         run_a, run_b = _ranges(i, n), _ranges(j, n)
         start_a, start_b = np.sort(np.concatenate([run_a, gi])), np.sort(np.concatenate([run_b, gj]))
         # links of an irregular group: both first tokens, then the next token of the side whose end comes first

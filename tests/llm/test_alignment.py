@@ -124,3 +124,25 @@ def test_long_text_and_empty_table(spark):
 def test_registered_query(spark):
     df = queries.QUERIES["op11_token_align"](spark, SF_SMALL)
     assert df.columns == ["doc_id", *NAMES]
+
+
+def test_runs_are_looked_up_once_for_both_sides_and_spell_as_the_libraries_do():
+    byte_level, pieces = Tokenizer.from_file(A), sentencepiece.SentencePieceProcessor(model_file=B)
+    byte_level.encode_special_tokens = True
+    aligner, rng = token_align.Aligner(A, B).ready(), np.random.default_rng(9)
+    letters = [*"ab'12 \n\t.é漢", "'s", " ", " ", " ", "\xa0", "\x85", "ﬁ"]
+    texts = [*ODD, *("".join(rng.choice(letters, int(n))) for n in rng.integers(1, 30, 3000))]
+    stand, piece = aligner.a.tokens, aligner.b.tokens
+    for _ in range(2):          # the second time from the table
+        for t, (a, b) in zip(texts, aligner.tokens(texts), strict=True):
+            want = byte_level.encode(" " + t, add_special_tokens=False).ids, pieces.encode(t)
+            spelled = all(b"".join(s[x] for x in ids) == (" " + t).encode() for s, ids in zip((stand, piece), want, strict=True))
+            assert (a.tolist(), b.tolist()) == (want if spelled else ([], [])), repr(t)
+    assert {"a", "1"} & set(aligner._known) and not any(" " in r or r == "" for r in aligner._known)
+
+
+def test_a_full_table_forgets_its_older_half():
+    known = {str(i): b"0000" for i in range(10)}
+    got = token_align._by_match([["9", "0", "new"]], known, lambda ms: [b"%04d" % len(m) for m in ms], 9)
+    assert got[0].tobytes() == b"0000" + b"0001" + b"0003"
+    assert list(known)[:5] == [*"56789"] and set(known) == {*"56789", "0", "new"}
