@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pandas as pd
 
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+#: White space; every other character belongs to a word.
+BLANKS = " \t\n\x0b\x0c\r"
 # fixed odd multipliers of the rolling hashes
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -17,7 +16,9 @@ def words(text: str) -> list[str]:
     # without these, ``split`` takes the same white space
     if text.isascii() and not any(c in text for c in "\x1c\x1d\x1e\x1f"):
         return text.split()
-    return _WORD.findall(text)
+    # that of bytes always does
+    found = b"\n".join(text.encode("utf-8", "surrogatepass").split())
+    return found.decode("utf-8", "surrogatepass").split("\n") if found else []
 
 
 def word_hashes(tokens: list[str]) -> np.ndarray:
@@ -27,23 +28,32 @@ def word_hashes(tokens: list[str]) -> np.ndarray:
 
 
 def _slots(h: np.ndarray, order: int, bits: int) -> np.ndarray:
-    h = (h + np.uint64(order)) * _MIX
+    h = h + np.uint64(order)
+    h *= _MIX
     h ^= h >> np.uint64(29)
-    return ((h * _STEP) >> np.uint64(64 - bits)).astype(np.int32)
+    h *= _STEP
+    h >>= np.uint64(64 - bits)
+    return h.astype(np.int32)
 
 
-def _rolled(units: np.ndarray, order: int) -> np.ndarray:
-    """Hash of every window of ``order`` units."""
-    n = len(units) - order + 1
-    if n <= 0:
-        return np.empty(0, np.uint64)
-    h = units[:n].copy()
-    for k in range(1, order):
-        h *= _STEP
-        h += units[k:n + k]
+def rolled(units: np.ndarray, order: int, start: np.ndarray | None = None, of: int = 1) -> np.ndarray:
+    """Hash of every window of ``order`` units, from those of ``of`` units, if given."""
+    h = units if start is None else start
+    for k in range(of, order):
+        h = h[:-1] * _STEP
+        h += units[k:]
     return h
 
 
+def hash_slots(units: np.ndarray, orders: tuple[int, ...], bits: int, first: int = 64) -> np.ndarray:
+    """Slots of all n-grams of hashed units, order after order."""
+    out, h, of = [], units, 1
+    for k in orders:
+        h, of = (rolled(units, k, h, of) if k >= of else rolled(units, k)), k
+        out.append(_slots(h, first + k, bits))
+    return np.concatenate(out)
+
+
 def char_slots(text: str, orders: tuple[int, ...], bits: int) -> np.ndarray:
     """Slot of every character n-gram, repeats included; runs of white space count as one blank."""
     units = np.frombuffer(f" {text} ".encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -52,9 +62,4 @@ def char_slots(text: str, orders: tuple[int, ...], bits: int) -> np.ndarray:
     # a text without words keeps both its blanks
     units = np.where(blank, np.uint32(0x20), units)[np.append(0, kept) if len(kept) else [0, 0]].astype(np.uint64)
     units += np.uint64(1)
-    return np.concatenate([_slots(_rolled(units, k), k, bits) for k in orders])
-
-
-def word_slots(tokens: list[str], orders: tuple[int, ...], bits: int) -> np.ndarray:
-    units = word_hashes(tokens)
-    return np.concatenate([_slots(_rolled(units, k), 64 + k, bits) for k in orders])
+    return hash_slots(units, orders, bits, 0)

@@ -46,7 +46,7 @@ def features(text: str) -> np.ndarray:
     hashed = ngrams.word_hashes(tokens)
     repeated = []
     for k in (2, 4):
-        grams = ngrams._rolled(hashed, k)
+        grams = ngrams.rolled(hashed, k)
         repeated.append(1 - len(np.unique(grams)) / len(grams) if len(grams) else 0.0)
     lines = [x for x in text.split("\n") if x.strip()]
     same = hashed[1:] == hashed[:-1]

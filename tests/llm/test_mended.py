@@ -161,6 +161,50 @@ def test_the_table_of_a_fit_multiplies_like_a_matrix():
         assert np.allclose(table.sums(w), full @ w, atol=1e-4) and np.allclose(table.spread(err), err @ full, atol=1e-4)
 
 
+def test_one_table_serves_the_fits_without_and_with_the_held_back_rows(monkeypatch):
+    rng, size, built = np.random.default_rng(17), 50, []
+    full = (rng.random((70, size)) < rng.random(size)) * rng.random((70, size)).astype(np.float32)
+    rows = [(np.flatnonzero(r), r[np.flatnonzero(r)]) for r in full]
+    y, train = (rng.random(70) < 0.4).astype(np.int64), np.arange(70) % 5 != 0
+
+    def plain(at):
+        x, z = 10 * full[at], y[at]
+        x = x * ((x > 0).sum(axis=0) >= max(2, min(10, len(z) // 10)))
+        weight = np.where(z == 1, 0.5 / (z == 1).sum(), 0.5 / (z == 0).sum())
+        w, m, v = np.zeros(size + 1), np.zeros(size + 1), np.zeros(size + 1)
+        for t in range(1, 31):
+            err = (linear.sigmoid(x @ w[:-1] + w[-1]) - z) * weight
+            g = np.append(err @ x + 1e-4 * w[:-1], err.sum())
+            m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
+            w -= 0.03 * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.99 ** t)) + 1e-8)
+        return 10 * w[:-1], w[-1]
+
+    class Table(quality_rules._Table):
+        def __init__(self, *args):
+            built.append(args)
+            super().__init__(*args)
+
+    monkeypatch.setattr(quality_rules, "_Table", Table)
+    w, b, margin = quality_rules._fit_roots(rows, y, train, size, 10, 1e-4, 30)
+    (all_w, all_b), (some_w, some_b) = plain(np.arange(70)), plain(np.flatnonzero(train))
+    assert len(built) == 1 and np.allclose(w, all_w, atol=1e-3) and np.isclose(b, all_b, atol=1e-4)
+    assert np.allclose(margin, full @ some_w + some_b, atol=1e-3) and not np.allclose(margin, full @ all_w + all_b, atol=1e-2)
+    none = quality_rules._fit_roots(rows, y, np.zeros(70, bool), size, 10, 1e-4, 30)    # nothing left to learn from
+    assert np.array_equal(none[0], w) and not none[2].any()
+
+
+def test_root_shares_and_repeated_words_by_sorted_hashes():
+    rng = np.random.default_rng(18)
+    for n in (0, 1, 2, 500):
+        slot = rng.integers(0, 60, n).astype(np.int32)
+        found, count = np.unique(slot, return_counts=True)
+        got = quality_rules.root_shares(slot)
+        assert np.array_equal(got[0], found) and np.array_equal(got[1], np.sqrt(count / max(1, n)).astype(np.float32))
+    tokens = [f"w{k}" for k in range(40)]
+    assert [quality_rules.repeated_words(t, ngrams.word_hashes(t)) for t in (tokens, tokens + tokens[3:10], tokens + tokens[3:11])
+            ] == [quality_rules.repeated_words(t) for t in (tokens, tokens + tokens[3:10], tokens + tokens[3:11])] == [0, 0, 16]
+
+
 def test_words_and_character_slots_follow_their_white_space():
     rng = np.random.default_rng(16)
     letters = [*map(chr, range(128)), *" " * 40, "\x85", "\xa0", "\u2003", "é", "漢"]
